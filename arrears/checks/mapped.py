@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.schemas import AMOUNT, LOAN
+from arrears.schemas import LOAN
 from arrears.sources.tables import LoanBook, as_buckets, as_fraud, as_installments, as_loans
 
 # Fixed values of the mapping.
@@ -35,47 +35,42 @@ def loan_book(spark: SparkSession, sf_dir: str) -> LoanBook:
 
 
 def _loans(orders: DataFrame) -> DataFrame:
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    paid_status = (
-        F.when((status == "F") & (priority == "1-URGENT"), "Written Off")
-        .when((status == "F") & (priority == "2-HIGH"), "Settled")
-        .when(status == "F", "Completed")
-        .when(status == "O", "Current")
-    )
-    return orders.select(
-        F.col("o_orderkey").cast("string").alias(LOAN),
-        F.when(priority == "4-NOT SPECIFIED", 0).otherwise(1).alias("flagDisbursement"),
-        paid_status.alias("loanPaidStatus"),
-        F.col("o_orderdate").alias("disbursementDateTime"),
+    return orders.selectExpr(
+        f"cast(o_orderkey AS string) AS {LOAN}",
+        "if(o_orderpriority = '4-NOT SPECIFIED', 0, 1) AS flagDisbursement",
+        """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'Written Off'
+                WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'Settled'
+                WHEN o_orderstatus = 'F' THEN 'Completed'
+                WHEN o_orderstatus = 'O' THEN 'Current' END AS loanPaidStatus""",
+        "o_orderdate AS disbursementDateTime",
     )
 
 
 def _installments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     # 13 + 4 digits make products of 18 digits, which Spark computes as longs.
-    price = F.col("l_extendedprice").cast("decimal(13,2)")
-    principal = price.cast(AMOUNT)
-    interest = price * F.col("l_discount").cast("decimal(4,2)")
-    penalty = price * F.nullif(F.col("l_tax").cast("decimal(4,2)"), F.lit(0))
-    is_paid = F.col("l_linestatus") == "F"
-    returned = F.col("l_returnflag") == "R"
-
-    def paid(amount: Column) -> Column:
-        return F.when(is_paid, amount).otherwise(0)
-
-    dated = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return dated.select(
-        F.col("l_orderkey").cast("string").alias(LOAN),
-        F.col("l_linenumber").alias("installmentNumber"),
-        F.add_months("o_orderdate", F.col("l_linenumber")).alias("installmentDueDate"),
-        F.when(returned, 1).otherwise(0).alias("isDelinquent"),
-        F.when(returned & (F.col("l_linestatus") == "O"), 1).otherwise(0).alias("isCurrentDelinquent"),
-        principal.alias("Principal"),
-        interest.alias("Interest"),
-        penalty.alias("Penalty"),
-        paid(principal).alias("Principal_paid"),
-        paid(interest).alias("Interest_paid"),
-        paid(penalty).alias("Penalty_paid"),
-        (F.col("l_linestatus") == "O").alias("is_open"),
+    priced = lineitem.selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag = 'R' AS returned",
+        "l_linestatus = 'F' AS is_paid",
+        "l_linestatus = 'O' AS is_open",
+        "cast(l_extendedprice AS decimal(13,2)) AS price",
+        "cast(l_discount AS decimal(4,2)) AS discount",
+        "nullif(cast(l_tax AS decimal(4,2)), 0) AS tax",
+    )
+    return priced.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        f"cast(l_orderkey AS string) AS {LOAN}",
+        "l_linenumber AS installmentNumber",
+        "add_months(o_orderdate, l_linenumber) AS installmentDueDate",
+        "if(returned, 1, 0) AS isDelinquent",
+        "if(returned AND is_open, 1, 0) AS isCurrentDelinquent",
+        "cast(price AS decimal(18,4)) AS Principal",
+        "price * discount AS Interest",
+        "price * tax AS Penalty",
+        "if(is_paid, cast(price AS decimal(18,4)), 0) AS Principal_paid",
+        "if(is_paid, price * discount, 0) AS Interest_paid",
+        "if(is_paid, price * tax, 0) AS Penalty_paid",
+        "is_open",
     )
 
 
@@ -86,54 +81,43 @@ def _buckets(installments: DataFrame) -> DataFrame:
     the amounts are summed by loan and month of entry in one grouping by loan,
     added up along the months and only then turned into a row per month end.
     """
-    due = F.col("installmentDueDate")
-    limits = [F.add_months(F.lit(day), 12) for day in MONTH_ENDS]
-    entry = F.coalesce(*[F.when(due <= limit, month) for month, limit in enumerate(limits)])
+    months = range(len(MONTH_ENDS))
+    limits = [f"add_months(DATE '{day}', 12)" for day in MONTH_ENDS]
+    entry = " ".join(f"WHEN installmentDueDate <= {limits[m]} THEN {m}" for m in months)
     amounts = {
-        "Loan_Principal": F.col("Principal"),
-        "Loan_Interest": F.col("Interest"),
-        "Overdue_Penalty": F.col("Penalty"),
-        "Loan_Fee": F.when(F.col("installmentNumber") == 1, F.lit(100)),
-        "Total_Outstanding_Amount": F.when(F.col("is_open"), F.col("Principal") + F.col("Interest")),
+        "Loan_Principal": "Principal",
+        "Loan_Interest": "Interest",
+        "Overdue_Penalty": "Penalty",
+        "Loan_Fee": "if(installmentNumber = 1, 100, null)",
+        "Total_Outstanding_Amount": "if(is_open, Principal + Interest, null)",
     }
-    entered = [
-        F.expr(f"sum({name}) FILTER (WHERE entry = {month})").alias(f"{name}_{month}")
-        for name in amounts
-        for month in range(len(MONTH_ENDS))
-    ]
-    late_due = F.when(F.col("isCurrentDelinquent") == 1, due)
+    entered = [f"sum({name}) FILTER (WHERE entry = {m}) AS {name}_{m}" for name in amounts for m in months]
     per_loan = (
-        installments.select(LOAN, due, late_due.alias("late_due"), entry.alias("entry"), *_named(amounts))
-        .filter("entry is not null")
+        installments.selectExpr(
+            LOAN,
+            "if(isCurrentDelinquent = 1, installmentDueDate, null) AS late_due",
+            f"CASE {entry} END AS entry",
+            *[f"{amount} AS {name}" for name, amount in amounts.items()],
+        )
+        .filter("entry IS NOT NULL")
         .groupBy(LOAN)
-        .agg(F.min("entry").alias("first_entry"), F.min("late_due").alias("late_since"), *entered)
+        .agg(*map(F.expr, ["min(entry) AS first_entry", "min(late_due) AS late_since", *entered]))
     )
 
-    def at(month: int) -> Column:
-        day = F.lit(MONTH_ENDS[month])
-        sums = {name: _running([F.col(f"{name}_{m}") for m in range(month + 1)]) for name in amounts}
-        overdue = F.when(F.col("late_since") <= day, F.datediff(day, F.col("late_since")))
-        row = F.struct(day.alias("bucketDate"), *_named(sums), overdue.alias("Max_current_DPD"))
-        return F.when(F.col("first_entry") <= month, row)
-
-    months = F.array_compact(F.array(*[at(month) for month in range(len(MONTH_ENDS))]))
-    return per_loan.select(LOAN, F.inline(months))
-
+    def at(month: int) -> str:
+        day = f"DATE '{MONTH_ENDS[month]}'"
+        fields = [f"'bucketDate', {day}"]
+        for name in amounts:
+            parts = [f"{name}_{m}" for m in range(month + 1)]
+            total = " + ".join(f"ifnull({part}, 0)" for part in parts)
+            fields.append(f"'{name}', if(coalesce({', '.join(parts)}) IS NULL, null, {total})")
+        fields.append(f"'Max_current_DPD', if(late_since <= {day}, datediff({day}, late_since), null)")
+        return f"if(first_entry <= {month}, named_struct({', '.join(fields)}), null)"
 
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
-
-def _running(parts: list[Column]) -> Column:
-    """The sum of the parts that are not null; null if none is."""
-    total = parts[0]
-    for part in parts[1:]:
-        total = F.coalesce(total + part, total, part)
-    return total
+    rows = ", ".join(at(month) for month in months)
+    return per_loan.selectExpr(LOAN, f"inline(array_compact(array({rows})))")
 
 
 def _fraud(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    in_debt = customer.filter(F.col("c_acctbal") < 0)
-    return orders.join(in_debt, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias(FRAUD_KEY)
-    )
+    in_debt = customer.filter("c_acctbal < 0")
+    return orders.join(in_debt, F.expr("o_custkey = c_custkey")).selectExpr(f"o_orderkey AS {FRAUD_KEY}")

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from arrears.checks.mapped import COHORT_YEAR, MONTH_ENDS
+from arrears.plans.reports import SEGMENT_MEASURES
 from arrears.schemas import BALANCE_DATE, REPORT_COLUMNS, SEGMENT_COLUMNS
 
 AS_OF = MONTH_ENDS[-1]
@@ -164,18 +165,8 @@ def _measures(prefix: str, names: Sequence[str]) -> list[str]:
     return [f"{value} AS {name}" for value, name in zip(values, names)]
 
 
-SEGMENT_REPORT_NAMES = (
-    "defaulted",
-    "observed",
-    "default_rate",
-    "outstanding_amount",
-    "total_amount",
-    "amount_rate",
-)
-
-
 def _segment_report(name: str, fraud_mode: str = "exclude") -> str:
-    columns = ", ".join(_measures("s.", SEGMENT_REPORT_NAMES))
+    columns = ", ".join(_measures("s.", SEGMENT_MEASURES))
     measures = segment_measures(name, fraud_mode=fraud_mode)
     return f"{LOAN_BOOK} SELECT DATE '{AS_OF}' AS {BALANCE_DATE}, {columns} FROM ({measures}) s"
 

@@ -14,7 +14,3 @@ def whole_units(amount: Column) -> Column:
     """Round half away from zero to a whole number; null counts as 0."""
     return or_zero(F.round(amount, 0).cast("bigint"))
 
-
-def rate(part: Column, whole: Column) -> Column:
-    """``part / whole`` as a double; null where ``whole`` is 0 or null."""
-    return F.try_divide(part.cast("double"), whole.cast("double"))

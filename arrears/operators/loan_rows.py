@@ -10,7 +10,7 @@ partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -64,34 +64,34 @@ def loan_standing(loans: DataFrame, config: ReportConfig) -> DataFrame:
 
 
 def snapshot(buckets: DataFrame, balance_dates: Sequence[date]) -> DataFrame:
-    """Bucket rows of the balance dates, with ``Balance_Date``.
-
-    For one date the column is that literal: the optimizer then drops it from
-    groupings, which leaves a shuffle by loan alone that later joins reuse.
-    """
-    if len(balance_dates) == 1:
-        day = F.lit(balance_dates[0])
-        return buckets.filter(F.col("bucketDate") == day).withColumn(BALANCE_DATE, day)
-    return buckets.filter(F.col("bucketDate").isin(*balance_dates)).withColumn(
-        BALANCE_DATE, F.col("bucketDate")
-    )
+    """Bucket rows of the balance dates; prunes partitions of ``bucketDate``."""
+    return buckets.filter(F.col("bucketDate").isin(*balance_dates))
 
 
 def snapshot_by_loan(buckets: DataFrame, balance_dates: Sequence[date], dpd_threshold: int) -> DataFrame:
-    """Amounts per balance date and loan; a loan's repeated rows add up."""
+    """Amounts per balance date and loan; a loan's repeated rows add up.
+
+    One balance date is grouped by loan alone, so that the joins by loan that
+    follow need no second shuffle. Several dates are grouped by loan and date,
+    and only the grouped rows are shuffled again.
+    """
+    one_date = len(balance_dates) == 1
+    keys = [LOAN] if one_date else [LOAN, "bucketDate"]
+    day = F.lit(balance_dates[0]) if one_date else F.col("bucketDate")
     amounts = ("Loan_Principal", "Loan_Interest", "Overdue_Penalty", "Loan_Fee")
     total = sum((or_zero(F.col(name)) for name in amounts[1:]), or_zero(F.col(amounts[0])))
     outstanding = or_zero(F.col("Total_Outstanding_Amount"))
     over = p.past_due_over(dpd_threshold)
     return (
         snapshot(buckets, balance_dates)
-        .groupBy(LOAN, BALANCE_DATE)
+        .groupBy(*keys)
         .agg(
             F.sum(total).alias("total"),
             F.sum(outstanding).alias("outstanding"),
             F.bool_or(over).alias("is_over"),
             F.sum(F.when(over, outstanding).otherwise(0)).alias("outstanding_over"),
         )
+        .withColumn(BALANCE_DATE, day)
     )
 
 

@@ -64,11 +64,11 @@ def _empty_rows(spark: SparkSession, balance_dates: Sequence[date]) -> DataFrame
 
 
 def _measures(name: str, segment: Segment) -> list[Column]:
-    observed, defaulted = F.expr(segment.observed), F.expr(segment.defaulted)
-    owed = F.when(defaulted, F.col(segment.owed)).otherwise(0)
-    return [
-        F.count_if(observed & defaulted).alias(f"{name}_defaulted"),
-        F.count_if(observed).alias(f"{name}_observed"),
-        F.sum(F.when(observed, owed)).alias(f"{name}_outstanding"),
-        F.sum(F.when(observed, F.col("total"))).alias(f"{name}_total"),
-    ]
+    owed = f"if({segment.defaulted}, {segment.owed}, 0)"
+    measures = {
+        "defaulted": f"count_if({segment.observed} and {segment.defaulted})",
+        "observed": f"count_if({segment.observed})",
+        "outstanding": f"sum(if({segment.observed}, {owed}, null))",
+        "total": f"sum(if({segment.observed}, total, null))",
+    }
+    return [F.expr(f"{measure} as {name}_{kind}") for kind, measure in measures.items()]

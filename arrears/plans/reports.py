@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.config import ReportConfig
 from arrears.functions import predicates as p
-from arrears.functions.amounts import rate
 from arrears.operators.loan_rows import installment_milestones, loan_rows
 from arrears.operators.loan_sets import active_loans
 from arrears.operators.segments import segment_totals, segments
-from arrears.schemas import BALANCE_DATE, LOAN, REPORT, SEGMENT_COLUMNS
+from arrears.schemas import BALANCE_DATE, LOAN, SEGMENT_COLUMNS
 from arrears.sources.tables import LoanBook
 
+# Columns of a report on one segment.
+SEGMENT_MEASURES = (
+    "defaulted",
+    "observed",
+    "default_rate",
+    "outstanding_amount",
+    "total_amount",
+    "amount_rate",
+)
+
 # Column names of the population diagnostics.
 SIZE_COLUMNS = ("activeloans", "installmentone", "installmentonedefault")
 
@@ -22,18 +31,8 @@ def segment_report(book: LoanBook, config: ReportConfig, name: str) -> DataFrame
     """Counts, amounts and rates of one segment."""
     chosen = segments(config.fraud_mode)[name]
     rows = loan_rows(book, config, with_fraud=name == "fraud_90plus")
-    totals = segment_totals(rows, config.balance_dates, {"segment": chosen})
-    defaulted, observed = F.col("segment_defaulted"), F.col("segment_observed")
-    outstanding, total = F.col("segment_outstanding"), F.col("segment_total")
-    return totals.select(
-        BALANCE_DATE,
-        defaulted.alias("defaulted"),
-        observed.alias("observed"),
-        rate(defaulted, observed).alias("default_rate"),
-        outstanding.cast("double").alias("outstanding_amount"),
-        total.cast("double").alias("total_amount"),
-        rate(outstanding, total).alias("amount_rate"),
-    )
+    totals = segment_totals(rows, config.balance_dates, {name: chosen})
+    return totals.selectExpr(BALANCE_DATE, *_segment_columns(name, SEGMENT_MEASURES))
 
 
 def full_report(book: LoanBook, config: ReportConfig) -> DataFrame:
@@ -79,18 +78,19 @@ def _report(book: LoanBook, config: ReportConfig, names_per_segment: int) -> Dat
         for name, names in SEGMENT_COLUMNS.items()
         for column in _segment_columns(name, names)[:names_per_segment]
     ]
-    return totals.select(BALANCE_DATE, *columns)
+    return totals.selectExpr(BALANCE_DATE, *columns)
 
 
-def _segment_columns(segment: str, names: tuple[str, ...]) -> list[Column]:
-    defaulted, observed = F.col(f"{segment}_defaulted"), F.col(f"{segment}_observed")
-    outstanding, total = F.col(f"{segment}_outstanding"), F.col(f"{segment}_total")
+def _segment_columns(segment: str, names: tuple[str, ...]) -> list[str]:
+    """The six columns of a segment from its totals; a rate over 0 is null."""
+    defaulted, observed = f"{segment}_defaulted", f"{segment}_observed"
+    outstanding, total = f"double({segment}_outstanding)", f"double({segment}_total)"
     values = (
         defaulted,
         observed,
-        rate(defaulted, observed),
+        f"try_divide({defaulted}, {observed})",
         outstanding,
         total,
-        rate(outstanding, total),
+        f"try_divide({outstanding}, {total})",
     )
-    return [value.cast(REPORT[name].dataType).alias(name) for name, value in zip(names, values)]
+    return [f"{value} as {name}" for value, name in zip(values, names)]
