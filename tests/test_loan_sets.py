@@ -1,0 +1,111 @@
+"""Loan sets on hand-made installments."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from conftest import MARCH, installment, loan, make_book
+
+from arrears.operators.loan_sets import active_loans, cohort_loans, fraud_accounts, installment_balances
+
+DUE = date(2024, 2, 10)
+
+
+def balances(spark, kind, rows):
+    frame = installment_balances(make_book(spark, rows).installments, kind, MARCH)
+    return {row[0]: (row[1], row[2]) for row in frame.collect()}
+
+
+def test_amounts_round_penalties_row_by_row(spark):
+    rows = [
+        installment("a", 1, DUE, amounts=(100, 10, "2.5"), paid=(40, 4, 1)),
+        installment("a", 1, DUE, amounts=(100, None, "2.4"), paid=(None, None, None)),
+        installment("a", 1, DUE, amounts=(None, "0.5", None)),
+    ]
+    total = Decimal("215.5")  # 200 + 10.5 + (3 + 2 + 0)
+    assert balances(spark, "first", rows) == {"a": (total, total - 45)}
+
+
+def test_due_day_is_included(spark):
+    rows = [
+        installment("on", 1, MARCH),
+        installment("after", 1, date(2024, 4, 1)),
+        installment("zero", 0, DUE),
+    ]
+    assert set(balances(spark, "first", rows)) == {"on"}
+
+
+MIXED = [
+    # defaulted first, so no second-plus defaulter
+    installment("f", 1, DUE, delinquent=1),
+    installment("f", 2, DUE, delinquent=1, current=1),
+    # second-plus defaulter; its unpaid and its paid-late installment
+    installment("s", 1, DUE),
+    installment("s", 2, DUE, delinquent=1, current=1, amounts=(7, 0, 0)),
+    installment("s", 3, DUE, delinquent=1, amounts=(5, 0, 0)),
+    installment("s", 4, DUE, amounts=(3, 0, 0)),
+    # only a second installment is due
+    installment("o", 2, DUE, delinquent=1),
+    # unknown flags
+    installment("n", 1, DUE, delinquent=None, current=None),
+    installment("n", 2, DUE, delinquent=None, current=None),
+    # its first-payment default lies after the balance date
+    installment("l", 1, date(2024, 4, 10), delinquent=1),
+    installment("l", 2, DUE, delinquent=1, current=1),
+    # currently delinquent first payment
+    installment("c", 1, DUE, delinquent=1, current=1),
+]
+
+
+@pytest.mark.parametrize(
+    "kind, loans",
+    [
+        ("first", "fsnc"),
+        ("first_delinquent", "fc"),
+        ("first_current_delinquent", "c"),
+        ("second_plus", "fsonl"),
+        ("second_plus_delinquent", "sol"),
+        ("second_plus_current_delinquent", "sl"),
+    ],
+)
+def test_members(spark, kind, loans):
+    assert set(balances(spark, kind, MIXED)) == set(loans)
+
+
+def test_delinquent_sums_take_delinquent_rows_only(spark):
+    assert balances(spark, "second_plus", MIXED)["s"][0] == 15
+    assert balances(spark, "second_plus_delinquent", MIXED)["s"][0] == 12
+    assert balances(spark, "second_plus_current_delinquent", MIXED)["s"][0] == 7
+
+
+def test_active_loans(spark):
+    loans = [
+        loan("current"),
+        loan("unknown", status=None),
+        loan("off", status="Written Off"),
+        loan("done", status="Completed"),
+        loan("settled", status="Settled"),
+        loan("undisbursed", flag=0),
+        loan("noflag", flag=None),
+        loan("late", status="current"),
+    ]
+    active = active_loans(make_book(spark, loans=loans).loans)
+    assert sorted(r[0] for r in active.collect()) == ["current", "late", "unknown"]
+
+
+def test_cohort_loans(spark):
+    loans = [
+        loan("first_day", disbursed=datetime(2022, 1, 1)),
+        loan("last_second", disbursed=datetime(2022, 12, 31, 23, 59, 59)),
+        loan("next_year", disbursed=datetime(2023, 1, 1)),
+        loan("unknown", disbursed=None),
+        loan("undisbursed", flag=0),
+        loan("closed", status="Completed"),
+    ]
+    cohort = cohort_loans(make_book(spark, loans=loans).loans, 2022)
+    assert sorted(r[0] for r in cohort.collect()) == ["closed", "first_day", "last_second"]
+
+
+def test_fraud_accounts_are_distinct(spark):
+    accounts = fraud_accounts(make_book(spark, fraud=[7, 7, 8]).fraud)
+    assert sorted(r[0] for r in accounts.collect()) == [7, 8]
