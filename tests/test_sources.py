@@ -1,5 +1,6 @@
 """Loaders, history and CSV."""
 
+import tempfile
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -184,15 +185,30 @@ def test_count_files_have_no_date(spark, tmp_path):
     assert len(row) == 15 and row.total90plus2022defaultrate == 0.75
 
 
-def test_scratch_is_under_the_shared_folder(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        path = scratch_path(spark, "x")
-        assert path.startswith(str(tmp_path)) and path != scratch_path(spark, "x")
-        staged = stage(reports(spark, JAN), "report")
-        assert staged.collect() == reports(spark, JAN).collect()
-        assert staged.inputFiles()[0].startswith(f"file://{tmp_path}")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_is_under_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    path = scratch_path(spark, "x")
+    assert path.startswith(f"{shared}/arrears/x-") and path != scratch_path(spark, "x")
+    staged = stage(reports(spark, JAN), "report")
+    assert staged.collect() == reports(spark, JAN).collect()
+    assert all(f"{shared}/arrears/report-" in path for path in staged.inputFiles())
 
 
+@pytest.mark.parametrize(
+    "conf, expected",
+    [
+        ({"spark.checkpoint.dir": "hdfs://shared/", "spark.master": "yarn"}, "hdfs://shared/arrears/"),
+        ({"spark.master": "local[2]"}, f"{tempfile.gettempdir()}/arrears/"),
+        ({"spark.master": "yarn"}, None),
+    ],
+)
+def test_scratch_never_falls_back_to_a_local_folder_on_a_cluster(conf, expected):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: conf.get(key, default))
+
+    if expected:
+        assert scratch_path(Session, "x").startswith(expected)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(Session, "x")
