@@ -12,7 +12,7 @@ from datetime import date
 
 from arrears.checks.mapped import COHORT_YEAR, MONTH_ENDS
 from arrears.plans.reports import SEGMENT_MEASURES
-from arrears.schemas import BALANCE_DATE, REPORT_COLUMNS, SEGMENT_COLUMNS
+from arrears.schemas import BALANCE_DATE, COUNT_REPORT_COLUMNS, REPORT_COLUMNS, SEGMENT_COLUMNS
 
 AS_OF = MONTH_ENDS[-1]
 
@@ -244,6 +244,8 @@ def oracle_sql() -> dict[str, str]:
         "kri_history_upsert": months,
         "kri_monthly_run": latest,
         "kri_csv_roundtrip": months,
+        "kri_csv_counts": f"{LOAN_BOOK} SELECT {', '.join(COUNT_REPORT_COLUMNS[1:])}"
+        f" FROM ({report(counts_only=True)}) c",
         "kri_monthly_summary": newest_first,
         "segment_sizes": f"{LOAN_BOOK} {_sizes()}",
         "report_preview": f"{newest_first} LIMIT 5",

@@ -17,7 +17,7 @@ from arrears.plans.jobs import monthly_run, monthly_summary, rebuild
 from arrears.plans.reports import count_report, full_report, preview, segment_report, segment_sizes
 from arrears.schemas import BALANCE_DATE, LOAN
 from arrears.sources.history import append_history, read_history, upsert_history
-from arrears.sources.report_csv import export_raw_csv, read_raw_reports
+from arrears.sources.report_csv import export_raw_csv, read_raw_counts, read_raw_reports
 from arrears.sources.scratch import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,7 @@ def queries() -> dict[str, Query]:
         "kri_history_upsert": history_upsert,
         "kri_monthly_run": run_month,
         "kri_csv_roundtrip": csv_roundtrip,
+        "kri_csv_counts": csv_counts,
         "kri_monthly_summary": summary,
         "segment_sizes": partial(_report, build=segment_sizes, config=LATEST),
         "report_preview": lambda spark, sf_dir: preview(full_report(loan_book(spark, sf_dir), FOUR_MONTHS)),
@@ -131,6 +132,13 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_reports(spark, csv)
 
 
+def csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count report as saved: without its date."""
+    csv = scratch_path(spark, "csv")
+    export_raw_csv(count_report(loan_book(spark, sf_dir), LATEST).drop(BALANCE_DATE), csv)
+    return read_raw_counts(spark, csv)
+
+
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months in the history and two saved CSVs, one date in both."""
     history, csv = scratch_path(spark, "history"), scratch_path(spark, "csv")

@@ -3,9 +3,8 @@
 Each source is reduced to one row per loan by its own grouping before any
 join. The groupings combine on the map side, so a loan (or copied key) that
 holds a large share of a source costs one row per map task in the shuffle, and
-the joins that follow meet unique keys only. The installment, loan and
-one-date snapshot groupings all shuffle by loan, and their joins reuse that
-partitioning.
+the joins that follow meet unique keys only and reuse the partitioning of the
+groupings.
 """
 
 from __future__ import annotations
@@ -69,44 +68,39 @@ def snapshot(buckets: DataFrame, balance_dates: Sequence[date]) -> DataFrame:
 
 
 def snapshot_by_loan(buckets: DataFrame, balance_dates: Sequence[date], dpd_threshold: int) -> DataFrame:
-    """Amounts per balance date and loan; a loan's repeated rows add up.
-
-    One balance date is grouped by loan alone, so that the joins by loan that
-    follow need no second shuffle. Several dates are grouped by loan and date,
-    and only the grouped rows are shuffled again.
-    """
-    one_date = len(balance_dates) == 1
-    keys = [LOAN] if one_date else [LOAN, "bucketDate"]
-    day = F.lit(balance_dates[0]) if one_date else F.col("bucketDate")
+    """Amounts per balance date and loan; a loan's repeated rows add up."""
     amounts = ("Loan_Principal", "Loan_Interest", "Overdue_Penalty", "Loan_Fee")
     total = sum((or_zero(F.col(name)) for name in amounts[1:]), or_zero(F.col(amounts[0])))
     outstanding = or_zero(F.col("Total_Outstanding_Amount"))
     over = p.past_due_over(dpd_threshold)
     return (
         snapshot(buckets, balance_dates)
-        .groupBy(*keys)
+        .withColumnRenamed("bucketDate", BALANCE_DATE)
+        .groupBy(*_row_keys(balance_dates))
         .agg(
             F.sum(total).alias("total"),
             F.sum(outstanding).alias("outstanding"),
             F.bool_or(over).alias("is_over"),
             F.sum(F.when(over, outstanding).otherwise(0)).alias("outstanding_over"),
         )
-        .withColumn(BALANCE_DATE, day)
     )
 
 
-def loan_rows(book: LoanBook, config: ReportConfig, with_fraud: bool = True) -> DataFrame:
-    """Active loans in the snapshot of each balance date, with flags."""
+def observed_loans(book: LoanBook, config: ReportConfig, with_fraud: bool = True) -> DataFrame:
+    """Active loans with a due installment, per balance date, with their flags."""
     dates = config.balance_dates
-    day = F.col(BALANCE_DATE)
+    day = F.lit(dates[0]) if len(dates) == 1 else F.explode(F.array(*[F.lit(d) for d in dates]))
 
     def reached(milestone: str) -> Column:
-        return F.coalesce(F.col(milestone) <= day, F.lit(False))
+        return F.coalesce(F.col(milestone) <= F.col(BALANCE_DATE), F.lit(False))
 
-    rows = (
-        snapshot_by_loan(book.buckets, dates, config.dpd_threshold)
-        .join(loan_standing(book.loans, config), LOAN)
-        .join(installment_milestones(book.installments, dates[-1]), LOAN)
+    loans = loan_standing(book.loans, config).join(
+        installment_milestones(book.installments, dates[-1]), LOAN
+    )
+    if with_fraud:
+        loans = mark_fraud(loans, book.fraud)
+    return (
+        loans.withColumn(BALANCE_DATE, day)
         .select(
             LOAN,
             BALANCE_DATE,
@@ -115,35 +109,53 @@ def loan_rows(book: LoanBook, config: ReportConfig, with_fraud: bool = True) ->
             reached("later_due").alias("has_later"),
             (reached("later_default_due") & ~reached("first_default_due")).alias("defaulted_later"),
             "in_cohort",
-            "is_over",
-            "total",
-            "outstanding",
-            "outstanding_over",
+            *(["is_fraud"] if with_fraud else []),
         )
         .filter("has_first or has_later")
     )
-    return mark_fraud(rows, book.fraud, config) if with_fraud else rows
 
 
-def mark_fraud(rows: DataFrame, fraud: DataFrame, config: ReportConfig) -> DataFrame:
+def mark_fraud(loans: DataFrame, fraud: DataFrame) -> DataFrame:
     """Add ``is_fraud``: the loan number, read as an integer, is in the list.
 
-    The list carries no broadcast hint. Spark broadcasts it while its size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides
-    beyond; neither side repeats a key within a balance date.
+    The flag is null where the loan number is not an integer. The list carries
+    no broadcast hint: Spark broadcasts it while its size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond.
+    Neither side repeats a key.
     """
     number = F.col(LOAN).try_cast("bigint")
-    if config.strict_loan_numbers:
-        # Only loans that the fraud segment looks at may fail on a bad number.
-        number = F.when(F.col("has_first"), F.col(LOAN).cast("bigint")).otherwise(number)
-    listed = fraud_accounts(fraud).withColumn("listed", F.lit(True))
+    listed = fraud_accounts(fraud)
     return (
-        rows.withColumn("loan_as_number", number)
+        loans.withColumn("loan_as_number", number)
         .join(listed, F.col("loan_as_number") == F.col(FRAUD_LOAN), "left")
-        .withColumn("is_fraud", F.coalesce("listed", F.lit(False)))
-        .drop("loan_as_number", FRAUD_LOAN, "listed")
+        .withColumn("is_fraud", F.when(F.col("loan_as_number").isNotNull(), F.col(FRAUD_LOAN).isNotNull()))
+        .drop("loan_as_number", FRAUD_LOAN)
     )
 
 
+def loan_rows(book: LoanBook, config: ReportConfig, with_fraud: bool = True) -> DataFrame:
+    """Observed loans in the snapshot of each balance date, with flags and amounts."""
+    dates = config.balance_dates
+    amounts = snapshot_by_loan(book.buckets, dates, config.dpd_threshold)
+    rows = amounts.join(observed_loans(book, config, with_fraud), _row_keys(dates), "inner")
+    if config.strict_loan_numbers and with_fraud:
+        # Checked here and not in the lookup: only loans that the fraud
+        # segment observes may fail on their number.
+        message = F.concat(F.lit("loan number is not an integer: "), F.col(LOAN))
+        unknown = F.when(F.col("has_first"), F.raise_error(message).cast("boolean"))
+        rows = rows.withColumn("is_fraud", F.coalesce("is_fraud", unknown))
+    return rows.withColumn("is_fraud", F.coalesce("is_fraud", F.lit(False))) if with_fraud else rows
+
+
+def _row_keys(balance_dates: Sequence[date]) -> list[str]:
+    """What identifies a loan row in the groupings and the join.
+
+    For one date that is the loan, the key that the other sources are shuffled
+    by. For several dates the snapshot is shuffled once by loan and date, and
+    the observed loans, which are fewer and narrower, follow it there.
+    """
+    return [LOAN] if len(balance_dates) == 1 else [LOAN, BALANCE_DATE]
+
+
 def _known(flag: str) -> Column:
     return F.coalesce(F.col(flag), F.lit(False)).alias(flag)

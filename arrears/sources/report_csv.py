@@ -13,11 +13,11 @@ DATE_STYLES = ("yyyy-MM-dd", "dd-MM-yyyy")
 
 
 def export_raw_csv(report: DataFrame, path: str) -> None:
-    """Write a report as one CSV file with a header.
+    """Write a report of either layout as one CSV file with a header.
 
     A report has one row per balance date, so one file is the right size.
     """
-    report.select(*REPORT_COLUMNS).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_raw_reports(spark: SparkSession, paths: str | list[str], with_files: bool = False) -> DataFrame:

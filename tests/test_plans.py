@@ -1,0 +1,148 @@
+"""The physical plan keeps the shape that large inputs need."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+from datetime import date
+
+import pytest
+from conftest import bucket, installment, loan, make_book
+
+from arrears.config import ReportConfig
+from arrears.operators.loan_sets import installment_balances
+from arrears.plans.reports import count_report, full_report, segment_report
+from arrears.sources.tables import FRAUD_LOAN, LoanBook, load_buckets, load_fraud, load_installments, load_loans
+
+RUN_DATE = date(2024, 4, 5)
+ONE_MONTH = ReportConfig(run_date=RUN_DATE)
+FOUR_MONTHS = ReportConfig(run_date=RUN_DATE, months_back=(0, 1, 2, 3))
+
+
+@pytest.fixture(scope="module")
+def stored_book(spark, tmp_path_factory):
+    """A loan book stored as a user would: Parquet, snapshots partitioned by date."""
+    path = str(tmp_path_factory.mktemp("book"))
+    numbers = [str(n) for n in range(40)]
+    book = make_book(
+        spark,
+        [installment(n, k, date(2024, 1, 10), delinquent=k % 2) for n in numbers for k in (1, 2)],
+        [loan(n) for n in numbers],
+        [bucket(n, day) for n in numbers for day in FOUR_MONTHS.balance_dates],
+        range(10),
+    )
+    book.installments.write.parquet(f"{path}/installments")
+    book.loans.write.parquet(f"{path}/loans")
+    book.buckets.write.partitionBy("bucketDate").parquet(f"{path}/buckets")
+    book.fraud.drop(FRAUD_LOAN).write.parquet(f"{path}/fraud")
+    return LoanBook(
+        installments=load_installments(spark, f"{path}/installments"),
+        loans=load_loans(spark, f"{path}/loans"),
+        buckets=load_buckets(spark, f"{path}/buckets"),
+        fraud=load_fraud(spark, f"{path}/fraud"),
+    )
+
+
+@contextlib.contextmanager
+def conf(spark, **settings):
+    names = {key: f"spark.sql.{key.replace('__', '.')}" for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(names[key], value)
+    try:
+        yield
+    finally:
+        for name in names.values():
+            spark.conf.unset(name)
+
+
+def plan_of(frame) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain("formatted")
+    return text.getvalue()
+
+
+def nodes(plan: str, name: str) -> int:
+    tree = plan.split("\n\n\n")[0]
+    return len(re.findall(rf"\b{name}\b.*\(\d+\)", tree))
+
+
+def scan_of(plan: str, column: str) -> str:
+    (scan,) = [block for block in plan.split("\n\n") if "Scan parquet" in block and f"{column}#" in block]
+    return scan
+
+
+@pytest.mark.parametrize("config", [ONE_MONTH, FOUR_MONTHS])
+def test_each_source_is_read_and_shuffled_once(spark, stored_book, config):
+    """Four sources, the observed loans to a long fraud list and back, the totals."""
+    with conf(spark, autoBroadcastJoinThreshold=-1):
+        plan = plan_of(full_report(stored_book, config))
+    assert nodes(plan, "Scan parquet") == 4
+    assert nodes(plan, "SortMergeJoin") == 3
+    assert nodes(plan, "Exchange") == 7
+    with conf(spark, autoBroadcastJoinThreshold=-1):
+        plan = plan_of(segment_report(stored_book, ONE_MONTH, "second_plus"))
+    assert nodes(plan, "Exchange") == 4
+
+
+@pytest.mark.parametrize("config", [ONE_MONTH, FOUR_MONTHS])
+def test_no_plan_multiplies_rows_or_leaves_the_jvm(stored_book, config):
+    plan = plan_of(full_report(stored_book, config))
+    for name in ("CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "Window", "ObjectHashAggregate"):
+        assert nodes(plan, name) == 0
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_every_source_is_combined_before_its_shuffle(spark, stored_book):
+    with conf(spark, autoBroadcastJoinThreshold=-1):
+        tree = plan_of(full_report(stored_book, ONE_MONTH)).split("\n\n\n")[0].splitlines()
+    below = {
+        i: next(line for line in tree[i + 1 :])
+        for i, line in enumerate(tree)
+        if re.search(r"\bExchange \(", line)
+    }
+    combined = [line for line in below.values() if "HashAggregate" in line]
+    # all but the observed loans on both ways, one row per loan already
+    assert len(combined) == len(below) - 2
+
+
+def test_filters_and_columns_reach_the_scans(stored_book):
+    plan = plan_of(full_report(stored_book, ONE_MONTH))
+    installments = scan_of(plan, "installmentNumber")
+    assert "LessThanOrEqual(installmentDueDate,2024-03-31)" in installments
+    assert "Principal" not in installments and "isCurrentDelinquent" not in installments
+    assert "EqualTo(flagDisbursement,1)" in scan_of(plan, "flagDisbursement")
+    snapshot = scan_of(plan, "Loan_Principal")
+    assert re.search(r"PartitionFilters: \[.*bucketDate#\d+ = 2024-03-31", snapshot)
+
+
+def test_counts_read_no_amounts(stored_book):
+    plan = plan_of(count_report(stored_book, ONE_MONTH))
+    assert "Loan_Principal" not in plan and "Total_Outstanding_Amount" not in plan
+
+
+def test_segments_read_only_the_sources_they_need(stored_book):
+    assert nodes(plan_of(segment_report(stored_book, ONE_MONTH, "overall_90plus")), "Scan parquet") == 3
+    assert nodes(plan_of(segment_report(stored_book, ONE_MONTH, "fraud_90plus")), "Scan parquet") == 4
+
+
+def test_balances_take_one_scan_and_one_shuffle(stored_book):
+    frame = installment_balances(stored_book.installments, "second_plus_delinquent", date(2024, 3, 31))
+    plan = plan_of(frame)
+    assert nodes(plan, "Scan parquet") == 1 and nodes(plan, "Exchange") == 1
+    assert "isCurrentDelinquent" not in scan_of(plan, "installmentNumber")
+
+
+def test_join_strategy_does_not_change_the_report(spark, stored_book):
+    broadcast = full_report(stored_book, FOUR_MONTHS).collect()
+    skew = {
+        "autoBroadcastJoinThreshold": -1,
+        "adaptive__skewJoin__skewedPartitionThresholdInBytes": 1,
+        "adaptive__skewJoin__skewedPartitionFactor": 1,
+        "adaptive__advisoryPartitionSizeInBytes": 64,
+    }
+    with conf(spark, **skew):
+        assert sorted(full_report(stored_book, FOUR_MONTHS).collect()) == sorted(broadcast)
+    with conf(spark, adaptive__enabled="false", autoBroadcastJoinThreshold=-1):
+        assert sorted(full_report(stored_book, FOUR_MONTHS).collect()) == sorted(broadcast)
