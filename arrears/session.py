@@ -16,12 +16,16 @@ REPORT_CONF = {
     "spark.ui.enabled": "false",
 }
 
-# On top of that for inputs of many terabytes: about 16 TB of shuffle at 512 MB
-# a partition before merging, and scan tasks that fill an executor core.
+# On top of that for inputs of tens of terabytes. Reports read a third of the
+# columns or less, so scan tasks can cover a gigabyte of file. The installment
+# grouping shuffles about a quarter of the installment files' size: at 60 TB
+# that is 15 TB, or a gigabyte for each of 16000 partitions, which spill if
+# they must. Fewer, larger shuffle blocks beat more partitions here.
 LARGE_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "1g",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2g",
 }
 
 

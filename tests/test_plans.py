@@ -146,3 +146,24 @@ def test_join_strategy_does_not_change_the_report(spark, stored_book):
         assert sorted(full_report(stored_book, FOUR_MONTHS).collect()) == sorted(broadcast)
     with conf(spark, adaptive__enabled="false", autoBroadcastJoinThreshold=-1):
         assert sorted(full_report(stored_book, FOUR_MONTHS).collect()) == sorted(broadcast)
+
+
+def test_tables_bucketed_by_loan_are_not_shuffled(spark, stored_book, tmp_path):
+    for name in ("installments", "loans", "buckets"):
+        table = getattr(stored_book, name)
+        spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+        writer = table.write.bucketBy(4, "loanAccountNumber").option("path", str(tmp_path / name))
+        writer.saveAsTable(f"bucketed_{name}")
+    book = LoanBook(
+        installments=load_installments(spark, "bucketed_installments", format="table", null_keys="drop"),
+        loans=load_loans(spark, "bucketed_loans", format="table"),
+        buckets=load_buckets(spark, "bucketed_buckets", format="table"),
+        fraud=stored_book.fraud,
+    )
+    with conf(spark, autoBroadcastJoinThreshold=-1, sources__bucketing__autoBucketedScan__enabled="false"):
+        # the totals alone
+        assert nodes(plan_of(segment_report(book, ONE_MONTH, "overall_90plus")), "Exchange") == 1
+        for config in (ONE_MONTH, FOUR_MONTHS):
+            assert sorted(full_report(book, config).collect()) == sorted(full_report(stored_book, config).collect())
+    for name in ("installments", "loans", "buckets"):
+        spark.sql(f"DROP TABLE bucketed_{name}")
