@@ -20,11 +20,23 @@ RUN_DATE = date(1998, 10, 4)
 COHORT_YEAR = 1997
 FRAUD_KEY = "ACCOUNTNUMBER"
 
+# The columns used of the test tables.
+TEST_TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string",
+    "customer": "c_custkey bigint, c_acctbal double",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table by its known schema, without a job to infer it."""
+    return spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
 def loan_book(spark: SparkSession, sf_dir: str) -> LoanBook:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    orders, lineitem, customer = (read_table(spark, sf_dir, name) for name in TEST_TABLES)
     installments = _installments(lineitem, orders)
     return LoanBook(
         installments=as_installments(installments),

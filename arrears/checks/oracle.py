@@ -201,7 +201,7 @@ def balances(kind: str, as_of: date = AS_OF) -> str:
 def _sizes() -> str:
     return f"""
     SELECT DATE '{AS_OF}' AS {BALANCE_DATE},
-           (SELECT count(*) FROM {loan_set('active')} a) AS activeloans,
+           (SELECT count(loanAccountNumber) FROM {loan_set('active')} a) AS activeloans,
            (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first')} f) AS installmentone,
            (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first_default')} d) AS installmentonedefault"""
 

@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.checks.mapped import COHORT_YEAR, MONTH_ENDS, RUN_DATE, loan_book
+from arrears.checks.mapped import COHORT_YEAR, MONTH_ENDS, RUN_DATE, loan_book, read_table
 from arrears.config import ReportConfig
 from arrears.functions.dates import balance_date
 from arrears.operators.loan_sets import active_loans, cohort_loans, fraud_accounts, installment_balances
@@ -67,7 +67,7 @@ def queries() -> dict[str, Query]:
 
 def balance_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order day taken as a run date, with offsets 0 to 3."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = read_table(spark, sf_dir, "orders")
     days = orders.select(F.to_date("o_orderdate").alias("run_date")).distinct()
     offsets = F.explode(F.array(*[F.lit(k) for k in range(4)])).alias("months_back")
     return days.select("run_date", offsets).withColumn(

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ from arrears.operators.loan_sets import fraud_accounts
 from arrears.schemas import BALANCE_DATE, LOAN
 from arrears.sources.tables import FRAUD_LOAN, LoanBook
 
+# What makes up a snapshot row's total amount.
+TOTAL_PARTS = ("Loan_Principal", "Loan_Interest", "Overdue_Penalty", "Loan_Fee")
+
 
 def installment_milestones(installments: DataFrame, last_date: date) -> DataFrame:
     """The earliest due date per loan of each kind of installment.
@@ -69,20 +74,19 @@ def snapshot(buckets: DataFrame, balance_dates: Sequence[date]) -> DataFrame:
 
 def snapshot_by_loan(buckets: DataFrame, balance_dates: Sequence[date], dpd_threshold: int) -> DataFrame:
     """Amounts per balance date and loan; a loan's repeated rows add up."""
-    amounts = ("Loan_Principal", "Loan_Interest", "Overdue_Penalty", "Loan_Fee")
-    total = sum((or_zero(F.col(name)) for name in amounts[1:]), or_zero(F.col(amounts[0])))
-    outstanding = or_zero(F.col("Total_Outstanding_Amount"))
-    over = p.past_due_over(dpd_threshold)
-    return (
-        snapshot(buckets, balance_dates)
-        .withColumnRenamed("bucketDate", BALANCE_DATE)
-        .groupBy(*_row_keys(balance_dates))
-        .agg(
-            F.sum(total).alias("total"),
-            F.sum(outstanding).alias("outstanding"),
-            F.bool_or(over).alias("is_over"),
-            F.sum(F.when(over, outstanding).otherwise(0)).alias("outstanding_over"),
-        )
+    parts = [or_zero(F.col(name)) for name in TOTAL_PARTS]
+    rows = snapshot(buckets, balance_dates).select(
+        LOAN,
+        F.col("bucketDate").alias(BALANCE_DATE),
+        reduce(add, parts).alias("total"),
+        or_zero(F.col("Total_Outstanding_Amount")).alias("outstanding"),
+        p.past_due_over(dpd_threshold).alias("over"),
+    )
+    return rows.groupBy(*_row_keys(balance_dates)).agg(
+        F.sum("total").alias("total"),
+        F.sum("outstanding").alias("outstanding"),
+        F.bool_or("over").alias("is_over"),
+        F.sum(F.when(F.col("over"), F.col("outstanding")).otherwise(0)).alias("outstanding_over"),
     )
 
 

@@ -30,8 +30,12 @@ def monthly_run(
 
 
 def rebuild(book: LoanBook, config: ReportConfig, history: str) -> None:
-    """Replace the history with the months of ``config``, from one job."""
-    rebuild_history(full_report(book, config), history)
+    """Replace the history with the months of ``config``, computed in one job.
+
+    Overwriting deletes the old history first, so the rows are complete and
+    stored before that: a run that fails while computing loses nothing.
+    """
+    rebuild_history(stage(full_report(book, config), "rebuild"), history)
 
 
 def monthly_summary(

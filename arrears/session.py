@@ -13,7 +13,6 @@ REPORT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 # On top of that for inputs of tens of terabytes. Reports read a third of the
@@ -36,6 +35,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .appName("arrears")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in REPORT_CONF.items():
