@@ -237,6 +237,7 @@ def oracle_sql() -> dict[str, str]:
         "kri_report_counts": f"{LOAN_BOOK} {report(fraud_mode='only', counts_only=True)}",
         "kri_report_full": latest,
         "kri_report_full_only_fraud": f"{LOAN_BOOK} {report(fraud_mode='only')}",
+        "kri_report_from_files": latest,
         "kri_backfill": months,
         "kri_backfill_only_fraud": f"{LOAN_BOOK} {backfill('only')}",
         "kri_history_append": months,

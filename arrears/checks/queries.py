@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.checks.mapped import COHORT_YEAR, MONTH_ENDS, RUN_DATE, loan_book, read_table
+from arrears.checks.mapped import COHORT_YEAR, FRAUD_KEY, MONTH_ENDS, RUN_DATE, loan_book, read_table
 from arrears.config import ReportConfig
 from arrears.functions.dates import balance_date
 from arrears.operators.loan_sets import active_loans, cohort_loans, fraud_accounts, installment_balances
@@ -19,6 +19,7 @@ from arrears.schemas import BALANCE_DATE, LOAN
 from arrears.sources.history import append_history, read_history, upsert_history
 from arrears.sources.report_csv import export_raw_csv, read_raw_counts, read_raw_reports
 from arrears.sources.scratch import scratch_path, stage
+from arrears.sources.tables import LoanBook, load_buckets, load_fraud, load_installments, load_loans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +50,7 @@ def queries() -> dict[str, Query]:
         "kri_report_counts": partial(_report, build=count_report, config=only_fraud),
         "kri_report_full": partial(_report, build=full_report, config=LATEST),
         "kri_report_full_only_fraud": partial(_report, build=full_report, config=only_fraud),
+        "kri_report_from_files": report_from_files,
         "kri_backfill": partial(_report, build=full_report, config=FOUR_MONTHS),
         "kri_backfill_only_fraud": partial(
             _report, build=full_report, config=replace(FOUR_MONTHS, fraud_mode="only")
@@ -89,6 +91,22 @@ def _report(spark: SparkSession, sf_dir: str, build: Callable, config: ReportCon
     return build(loan_book(spark, sf_dir), config)
 
 
+def report_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full report of a loan book stored in three formats and loaded back."""
+    book, path = loan_book(spark, sf_dir), scratch_path(spark, "book")
+    book.installments.write.parquet(f"{path}/installments")
+    book.loans.write.orc(f"{path}/loans")
+    book.buckets.write.partitionBy("bucketDate").parquet(f"{path}/buckets")
+    book.fraud.select(FRAUD_KEY).write.option("header", True).csv(f"{path}/fraud")
+    loaded = LoanBook(
+        installments=load_installments(spark, f"{path}/installments"),
+        loans=load_loans(spark, f"{path}/loans", format="orc"),
+        buckets=load_buckets(spark, f"{path}/buckets"),
+        fraud=load_fraud(spark, f"{path}/fraud", FRAUD_KEY, format="csv"),
+    )
+    return full_report(loaded, LATEST)
+
+
 def _staged_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(full_report(loan_book(spark, sf_dir), FOUR_MONTHS), "months")
 
