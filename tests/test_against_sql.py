@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 import duckdb
 import pytest
 from conftest import bucket, installment, loan, make_book
+from pyspark.sql import functions as F
 
 from arrears.checks import oracle
 from arrears.checks.queries import queries
@@ -161,5 +162,41 @@ def test_registered_query(spark, duck, tables_dir, name):
     assert rows_of(rows) == rows_of(expected) != []
 
 
+@pytest.fixture(scope="module")
+def hot_dir(spark, tables_dir, tmp_path_factory):
+    """The test tables with a third of the line items on one order and of the orders on one customer."""
+    path = str(tmp_path_factory.mktemp("hot"))
+    third = F.rand(11) < 1 / 3
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_custkey"), ("customer", None)):
+        table = spark.read.parquet(f"{tables_dir}/{name}.parquet")
+        if key:
+            hot = table.agg(F.min(key)).first()[0]
+            table = table.withColumn(key, F.when(third, hot).otherwise(F.col(key)))
+        table.repartition(4).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+@pytest.mark.parametrize("name", ["kri_report_full", "kri_backfill", "inst_second_plus", "fraud_accounts"])
+def test_hot_keys(spark, hot_dir, name):
+    connection = duckdb.connect()
+    for table in ("lineitem", "orders", "customer"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{hot_dir}/{table}.parquet/*.parquet'")
+    expected = connection.sql(oracle.oracle_sql()[name]).fetchall()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = queries()[name](spark, hot_dir).collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert rows_of(found) == rows_of(expected) != []
+
+
 def test_every_query_has_sql():
     assert list(queries()) == list(oracle.oracle_sql())

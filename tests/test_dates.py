@@ -1,6 +1,8 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from arrears.config import ReportConfig
@@ -39,3 +41,12 @@ def test_config_rejects_bad_values():
         ReportConfig(fraud_mode="without")
     with pytest.raises(ValueError, match="months_back"):
         ReportConfig(months_back=())
+
+
+@given(st.dates(date(1990, 1, 1), date(2100, 1, 1)), st.integers(0, 120))
+def test_balance_date_is_a_month_end_before_the_run(run_date, months_back):
+    day = balance_date_of(run_date, months_back)
+    next_day = day + timedelta(days=1)
+    assert next_day.day == 1
+    months = (run_date.year - day.year) * 12 + run_date.month - day.month
+    assert months == months_back + 1

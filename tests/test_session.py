@@ -1,0 +1,11 @@
+from arrears.session import LARGE_CONF, REPORT_CONF
+
+
+def test_settings_are_known_to_spark(spark):
+    for key in {**REPORT_CONF, **LARGE_CONF}:
+        assert spark.conf.isModifiable(key), key
+
+
+def test_session_uses_the_report_settings(spark):
+    for key, value in REPORT_CONF.items():
+        assert spark.conf.get(key) == value
