@@ -60,7 +60,7 @@ def _empty_rows(spark: SparkSession, balance_dates: Sequence[date]) -> DataFrame
     days = F.explode(F.array(*[F.lit(day) for day in balance_dates])).alias(BALANCE_DATE)
     flags = [F.lit(False).alias(name) for name in FLAGS]
     amounts = [F.lit(None).alias(name) for name in AMOUNTS]
-    return spark.range(1).select(days, *flags, *amounts)
+    return spark.range(0, 1, 1, 1).select(days, *flags, *amounts)
 
 
 def _measures(name: str, segment: Segment) -> list[Column]:
