@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DateType,
     DecimalType,
     DoubleType,
     FloatType,
@@ -120,20 +119,19 @@ def _conform(frame: DataFrame, schema: StructType) -> DataFrame:
     _require(frame, schema.fieldNames())
     stored = {field.name.lower(): field.dataType for field in frame.schema}
 
-    def typed(field: StructField) -> Column:
+    def typed(field: StructField) -> Column | str:
         kind = stored[field.name.lower()]
         # Decimals stay as precise and as large as they are stored.
-        if isinstance(field.dataType, DecimalType) and isinstance(kind, DecimalType):
-            return F.col(field.name)
+        both_decimal = isinstance(field.dataType, DecimalType) and isinstance(kind, DecimalType)
+        if kind == field.dataType or both_decimal:
+            return field.name
         # Penalty is rounded to whole units later: cutting a float to four
         # decimals first could lift 2.49999 over the rounding edge.
         if field.name == "Penalty" and isinstance(kind, (FloatType, DoubleType)):
-            return F.col(field.name).cast(DoubleType()).alias(field.name)
-        if isinstance(field.dataType, DateType):
-            return F.to_date(field.name).alias(field.name)
-        return F.col(field.name).cast(field.dataType).alias(field.name)
+            return F.col(field.name).cast(DoubleType())
+        return F.col(field.name).cast(field.dataType)
 
-    return frame.select(*[typed(field) for field in schema])
+    return frame.select(*[typed(field) for field in schema]).toDF(*schema.fieldNames())
 
 
 def _without_null(frame: DataFrame, key: str, action: str) -> DataFrame:

@@ -17,6 +17,7 @@ from arrears.sources.scratch import scratch_path, stage
 from arrears.sources.tables import (
     as_fraud,
     as_installments,
+    as_loans,
     load_buckets,
     load_fraud,
     load_installments,
@@ -67,6 +68,14 @@ def test_loan_and_bucket_loaders_cast_stored_types(spark, tmp_path):
     assert row.Loan_Principal == Decimal("1.2346") and row.Max_current_DPD == 91
 
 
+def test_column_names_may_differ_in_case(spark):
+    frame = spark.sql(
+        "select '1' as LOANACCOUNTNUMBER, 1 as flagdisbursement, '' as LoanPaidStatus,"
+        " null as DisbursementDatetime"
+    )
+    assert as_loans(frame).columns == schemas.LOANS.fieldNames()
+
+
 def test_load_from_a_table(spark):
     spark.createDataFrame([("1", 1, None, None)], schemas.LOANS).createOrReplaceTempView("loan_master")
     assert load_loans(spark, "loan_master", format="table").count() == 1
