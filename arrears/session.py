@@ -6,15 +6,14 @@ from pyspark.sql import SparkSession
 
 # What every report run needs. Dates are taken in UTC. Decimal overflow and
 # bad values must fail (ANSI). Shuffle partitions are merged to the advisory
-# size at run time, and a join hashes the smaller side instead of sorting both
-# where every shuffled partition of that side turned out small.
+# size at run time. Joins stay sort-merge joins, which spill: hashing a side
+# by its compressed shuffle size ran out of memory on a 60-month backfill.
 REPORT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 # On top of that for inputs of tens of terabytes. Reports read a third of the
