@@ -12,7 +12,7 @@ from arrears.plans.reports import full_report
 from arrears.schemas import BALANCE_DATE, REPORT, REPORT_COLUMNS
 from arrears.sources.history import append_history, rebuild_history, upsert_history
 from arrears.sources.report_csv import export_raw_csv, file_columns, read_raw_reports
-from arrears.sources.scratch import stage
+from arrears.sources.scratch import staged
 from arrears.sources.tables import LoanBook
 
 HISTORY_WRITERS = {"upsert": upsert_history, "append": append_history}
@@ -21,12 +21,15 @@ HISTORY_WRITERS = {"upsert": upsert_history, "append": append_history}
 def monthly_run(
     book: LoanBook, config: ReportConfig, history: str, csv: str, into_history: str = "upsert"
 ) -> DataFrame:
-    """Compute the report once, add it to the history and save it as CSV."""
+    """Compute the report once, add it to the history and save it as CSV.
+
+    Returns the report as the CSV holds it.
+    """
     write = HISTORY_WRITERS[into_history]
-    report = stage(full_report(book, config), "monthly")
-    write(report, history)
-    export_raw_csv(report, csv)
-    return report
+    with staged(full_report(book, config), "monthly") as report:
+        write(report, history)
+        export_raw_csv(report, csv)
+    return read_raw_reports(report.sparkSession, csv)
 
 
 def rebuild(book: LoanBook, config: ReportConfig, history: str) -> None:
@@ -35,7 +38,8 @@ def rebuild(book: LoanBook, config: ReportConfig, history: str) -> None:
     Overwriting deletes the old history first, so the rows are complete and
     stored before that: a run that fails while computing loses nothing.
     """
-    rebuild_history(stage(full_report(book, config), "rebuild"), history)
+    with staged(full_report(book, config), "rebuild") as report:
+        rebuild_history(report, history)
 
 
 def monthly_summary(
