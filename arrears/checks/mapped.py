@@ -18,6 +18,9 @@ from arrears.sources.tables import LoanBook, as_buckets, as_fraud, as_installmen
 MONTH_ENDS = (date(1998, 6, 30), date(1998, 7, 31), date(1998, 8, 31), date(1998, 9, 30))
 RUN_DATE = date(1998, 10, 4)
 COHORT_YEAR = 1997
+# What a month's number is multiplied by and added to an amount of that month
+# end, so that no two snapshots of a loan agree.
+GROWTH = {"Loan_Fee": 2, "Total_Outstanding_Amount": 3}
 FRAUD_KEY = "ACCOUNTNUMBER"
 
 # The columns used of the test tables.
@@ -46,8 +49,14 @@ def loan_book(spark: SparkSession, sf_dir: str) -> LoanBook:
     )
 
 
+def _repeated(frame: DataFrame, key: str, every: int) -> DataFrame:
+    """Rows whose key ``every`` divides stand twice."""
+    times = F.sequence(F.lit(1), F.expr(f"if(cast({key} AS bigint) % {every} = 0, 2, 1)"))
+    return frame.select("*", F.explode(times).alias("_nth")).drop("_nth")
+
+
 def _loans(orders: DataFrame) -> DataFrame:
-    return orders.selectExpr(
+    return _repeated(orders, "o_orderkey", 5).selectExpr(
         f"cast(o_orderkey AS string) AS {LOAN}",
         "if(o_orderpriority = '4-NOT SPECIFIED', 0, 1) AS flagDisbursement",
         """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'Written Off'
@@ -59,14 +68,13 @@ def _loans(orders: DataFrame) -> DataFrame:
 
 
 def _installments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    # 13 + 4 digits make products of 18 digits, which Spark computes as longs.
     priced = lineitem.selectExpr(
         "l_orderkey",
         "l_linenumber",
         "l_returnflag = 'R' AS returned",
         "l_linestatus = 'F' AS is_paid",
         "l_linestatus = 'O' AS is_open",
-        "cast(l_extendedprice AS decimal(13,2)) AS price",
+        "cast(l_extendedprice AS decimal(18,2)) AS price",
         "cast(l_discount AS decimal(4,2)) AS discount",
         "nullif(cast(l_tax AS decimal(4,2)), 0) AS tax",
     )
@@ -77,8 +85,8 @@ def _installments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "if(returned, 1, 0) AS isDelinquent",
         "if(returned AND is_open, 1, 0) AS isCurrentDelinquent",
         "cast(price AS decimal(18,4)) AS Principal",
-        "price * discount AS Interest",
-        "price * tax AS Penalty",
+        "cast(price * discount AS decimal(18,4)) AS Interest",
+        "cast(price * tax AS decimal(18,4)) AS Penalty",
         "if(is_paid, cast(price AS decimal(18,4)), 0) AS Principal_paid",
         "if(is_paid, price * discount, 0) AS Interest_paid",
         "if(is_paid, price * tax, 0) AS Penalty_paid",
@@ -122,14 +130,16 @@ def _buckets(installments: DataFrame) -> DataFrame:
         for name in amounts:
             parts = [f"{name}_{m}" for m in range(month + 1)]
             total = " + ".join(f"ifnull({part}, 0)" for part in parts)
-            fields.append(f"'{name}', if(coalesce({', '.join(parts)}) IS NULL, null, {total})")
+            grown = f"{total} + {GROWTH[name] * MONTH_ENDS[month].month}BD" if name in GROWTH else total
+            fields.append(f"'{name}', if(coalesce({', '.join(parts)}) IS NULL, null, {grown})")
         fields.append(f"'Max_current_DPD', if(late_since <= {day}, datediff({day}, late_since), null)")
         return f"if(first_entry <= {month}, named_struct({', '.join(fields)}), null)"
 
     rows = ", ".join(at(month) for month in months)
-    return per_loan.selectExpr(LOAN, f"inline(array_compact(array({rows})))")
+    return _repeated(per_loan.selectExpr(LOAN, f"inline(array_compact(array({rows})))"), LOAN, 7)
 
 
 def _fraud(orders: DataFrame, customer: DataFrame) -> DataFrame:
     in_debt = customer.filter("c_acctbal < 0")
-    return orders.join(in_debt, F.expr("o_custkey = c_custkey")).selectExpr(f"o_orderkey AS {FRAUD_KEY}")
+    listed = orders.join(in_debt, F.expr("o_custkey = c_custkey")).selectExpr(f"o_orderkey AS {FRAUD_KEY}")
+    return _repeated(listed, FRAUD_KEY, 3)

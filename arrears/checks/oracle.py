@@ -54,31 +54,36 @@ loans AS (
               WHEN o_orderpriority = '2-HIGH' THEN 'Settled'
               ELSE 'Completed' END AS loanPaidStatus,
          o_orderdate AS disbursementDateTime
-  FROM orders
+  FROM orders JOIN (VALUES (1), (2)) AS r(nth) ON nth = 1 OR o_orderkey % 5 = 0
 )"""
 
 _MONTH_ENDS = ", ".join(f"(DATE '{day}')" for day in MONTH_ENDS)
 
 _BUCKETS = f"""
 month_ends AS (SELECT * FROM (VALUES {_MONTH_ENDS}) AS v(bucketDate)),
-buckets AS (
+buckets_once AS (
   SELECT i.loanAccountNumber, m.bucketDate,
          sum(i.Principal) AS Loan_Principal,
          sum(i.Interest) AS Loan_Interest,
          sum(i.Penalty) AS Overdue_Penalty,
-         sum(CASE WHEN i.installmentNumber = 1 THEN 100 END) AS Loan_Fee,
-         sum(CASE WHEN i.line_status = 'O' THEN i.Principal + i.Interest END) AS Total_Outstanding_Amount,
+         sum(CASE WHEN i.installmentNumber = 1 THEN 100 END) + 2 * month(m.bucketDate) AS Loan_Fee,
+         sum(CASE WHEN i.line_status = 'O' THEN i.Principal + i.Interest END) + 3 * month(m.bucketDate) AS Total_Outstanding_Amount,
          max(CASE WHEN i.isCurrentDelinquent = 1 AND i.installmentDueDate <= m.bucketDate
                   THEN date_diff('day', i.installmentDueDate, m.bucketDate) END) AS Max_current_DPD
   FROM installments i JOIN month_ends m
     ON i.installmentDueDate <= CAST(m.bucketDate + to_months(12) AS DATE)
   GROUP BY i.loanAccountNumber, m.bucketDate
+),
+buckets AS (
+  SELECT b.* FROM buckets_once b
+  JOIN (VALUES (1), (2)) AS r(nth) ON nth = 1 OR CAST(loanAccountNumber AS BIGINT) % 7 = 0
 )"""
 
 _FRAUD = """
 fraud AS (
   SELECT o_orderkey AS fraud_loan
-  FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+  FROM orders JOIN (VALUES (1), (2)) AS r(nth) ON nth = 1 OR o_orderkey % 3 = 0
+  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
 )"""
 
 LOAN_BOOK = f"WITH {_INSTALLMENTS},{_LOANS},{_BUCKETS},{_FRAUD}"
@@ -198,12 +203,12 @@ def balances(kind: str, as_of: date = AS_OF) -> str:
     GROUP BY loanAccountNumber"""
 
 
-def _sizes() -> str:
+def _sizes(as_of: date = AS_OF) -> str:
     return f"""
-    SELECT DATE '{AS_OF}' AS {BALANCE_DATE},
+    SELECT DATE '{as_of}' AS {BALANCE_DATE},
            (SELECT count(loanAccountNumber) FROM {loan_set('active')} a) AS activeloans,
-           (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first')} f) AS installmentone,
-           (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first_default')} d) AS installmentonedefault"""
+           (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first', as_of)} f) AS installmentone,
+           (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first_default', as_of)} d) AS installmentonedefault"""
 
 
 _BALANCE_DATES = """
@@ -249,5 +254,6 @@ def oracle_sql() -> dict[str, str]:
         f" FROM ({report(counts_only=True)}) c",
         "kri_monthly_summary": newest_first,
         "segment_sizes": f"{LOAN_BOOK} {_sizes()}",
-        "report_preview": f"{newest_first} LIMIT 5",
+        "segment_sizes_by_month": f"{LOAN_BOOK} {' UNION ALL '.join(map(_sizes, MONTH_ENDS))}",
+        "report_preview": f"{newest_first} LIMIT 3",
     }

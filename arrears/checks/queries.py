@@ -63,7 +63,8 @@ def queries() -> dict[str, Query]:
         "kri_csv_counts": csv_counts,
         "kri_monthly_summary": summary,
         "segment_sizes": partial(_report, build=segment_sizes, config=LATEST),
-        "report_preview": lambda spark, sf_dir: preview(full_report(loan_book(spark, sf_dir), FOUR_MONTHS)),
+        "segment_sizes_by_month": partial(_report, build=segment_sizes, config=FOUR_MONTHS),
+        "report_preview": lambda spark, sf_dir: preview(full_report(loan_book(spark, sf_dir), FOUR_MONTHS), 3),
     }
 
 
@@ -138,10 +139,10 @@ def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly run, read back from the history it wrote."""
+    """The monthly run: what its CSV and its history both hold."""
     history, csv = scratch_path(spark, "history"), scratch_path(spark, "csv")
     monthly_run(loan_book(spark, sf_dir), LATEST, history, csv)
-    return read_history(spark, history)
+    return read_raw_reports(spark, csv).intersect(read_history(spark, history))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,8 @@ CLOSED_STATUSES = ("Written Off", "Completed", "Settled")
 class ReportConfig:
     """What a report measures.
 
-    ``run_date`` is the day the job runs (default: today, UTC) and
+    ``run_date`` is the day the job runs (default: today, UTC, read once when
+    the config is made, so that a run past midnight keeps its month) and
     ``months_back`` the month offsets to report, one row each.
     ``fraud_mode`` says whether the fraud segment leaves the listed loans out
     or takes them alone. ``strict_loan_numbers`` makes a loan number that is
@@ -34,6 +35,8 @@ class ReportConfig:
     strict_loan_numbers: bool = True
 
     def __post_init__(self) -> None:
+        if self.run_date is None:
+            object.__setattr__(self, "run_date", today())
         if self.fraud_mode not in FRAUD_MODES:
             raise ValueError(f"fraud_mode must be one of {FRAUD_MODES}, got {self.fraud_mode!r}")
         if not self.months_back:
@@ -42,5 +45,8 @@ class ReportConfig:
     @property
     def balance_dates(self) -> list[date]:
         """The distinct as-of dates, oldest first."""
-        run_date = self.run_date or datetime.now(timezone.utc).date()
-        return sorted({balance_date_of(run_date, k) for k in self.months_back})
+        return sorted({balance_date_of(self.run_date, k) for k in self.months_back})
+
+
+def today() -> date:
+    return datetime.now(timezone.utc).date()

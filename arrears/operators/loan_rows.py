@@ -22,6 +22,7 @@ from arrears.functions import predicates as p
 from arrears.functions.amounts import or_zero
 from arrears.operators.loan_sets import fraud_accounts
 from arrears.schemas import BALANCE_DATE, LOAN
+from arrears.session import require_utc
 from arrears.sources.tables import FRAUD_LOAN, LoanBook
 
 # What makes up a snapshot row's total amount.
@@ -68,8 +69,16 @@ def loan_standing(loans: DataFrame, config: ReportConfig) -> DataFrame:
 
 
 def snapshot(buckets: DataFrame, balance_dates: Sequence[date]) -> DataFrame:
-    """Bucket rows of the balance dates; prunes partitions of ``bucketDate``."""
-    return buckets.filter(F.col("bucketDate").isin(*balance_dates))
+    """Bucket rows of the balance dates; prunes partitions of ``bucketDate``.
+
+    The range beside the list reaches the scan also where the column is stored
+    as a timestamp, for which a list of dates is not pushed.
+    """
+    day = F.col("bucketDate")
+    listed = buckets.filter(day.isin(*balance_dates))
+    if len(balance_dates) == 1:
+        return listed
+    return listed.filter(day.between(F.lit(min(balance_dates)), F.lit(max(balance_dates))))
 
 
 def snapshot_by_loan(buckets: DataFrame, balance_dates: Sequence[date], dpd_threshold: int) -> DataFrame:
@@ -139,6 +148,7 @@ def mark_fraud(loans: DataFrame, fraud: DataFrame) -> DataFrame:
 
 def loan_rows(book: LoanBook, config: ReportConfig, with_fraud: bool = True) -> DataFrame:
     """Observed loans in the snapshot of each balance date, with flags and amounts."""
+    require_utc(book.loans.sparkSession)
     dates = config.balance_dates
     amounts = snapshot_by_loan(book.buckets, dates, config.dpd_threshold)
     rows = amounts.join(observed_loans(book, config, with_fraud), _row_keys(dates), "inner")

@@ -51,18 +51,31 @@ def count_report(book: LoanBook, config: ReportConfig) -> DataFrame:
 
 
 def segment_sizes(book: LoanBook, config: ReportConfig) -> DataFrame:
-    """Rows of active loans and loans with a due, or defaulted, first installment."""
-    if len(config.balance_dates) != 1:
-        raise ValueError("segment sizes are taken at one balance date")
-    day = config.balance_dates[0]
-    active = active_loans(book.loans, config.closed_statuses).agg(F.count(LOAN).alias(SIZE_COLUMNS[0]))
-    first = installment_milestones(book.installments.filter(p.first_installment()), day).agg(
-        F.count("first_due").alias(SIZE_COLUMNS[1]),
-        F.count("first_default_due").alias(SIZE_COLUMNS[2]),
-    )
-    both = active.unionByName(first, allowMissingColumns=True)
-    sizes = [F.sum(name).alias(name) for name in SIZE_COLUMNS]
-    return both.agg(*sizes).select(F.lit(day).alias(BALANCE_DATE), *SIZE_COLUMNS)
+    """Per balance date: rows of active loans, loans with a due, or defaulted, first installment.
+
+    Active loans are counted as they are now, so their number is the same for
+    every date; the rest compares each loan's earliest due dates with the date.
+    """
+    dates = config.balance_dates
+    active = active_loans(book.loans, config.closed_statuses).agg(F.count(LOAN).alias("active"))
+    first = installment_milestones(book.installments.filter(p.first_installment()), dates[-1])
+    reached = [
+        F.count_if(F.col(due) <= F.lit(day)).alias(f"{due}_{i}")
+        for i, day in enumerate(dates)
+        for due in ("first_due", "first_default_due")
+    ]
+    both = active.unionByName(first.agg(*reached), allowMissingColumns=True)
+    sums = both.agg(*[F.sum(name).alias(name) for name in both.columns])
+    rows = [
+        F.struct(
+            F.lit(day).alias(BALANCE_DATE),
+            F.col("active").alias(SIZE_COLUMNS[0]),
+            F.col(f"first_due_{i}").alias(SIZE_COLUMNS[1]),
+            F.col(f"first_default_due_{i}").alias(SIZE_COLUMNS[2]),
+        )
+        for i, day in enumerate(dates)
+    ]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def preview(report: DataFrame, rows: int = 5) -> DataFrame:

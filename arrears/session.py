@@ -16,7 +16,8 @@ REPORT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-# On top of that for inputs of tens of terabytes. Reports read a third of the
+# On top of that for inputs of tens of terabytes. An estimate: none of it was
+# run at that size. Reports read a third of the
 # columns or less, so scan tasks can cover a gigabyte of file. The installment
 # grouping shuffles about a quarter of the installment files' size: at 60 TB
 # that is 15 TB, or a gigabyte for each of 16000 partitions, which spill if
@@ -29,6 +30,16 @@ LARGE_CONF = {
 }
 
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session in which days and years would be those of another zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"reports take days in UTC, set spark.sql.session.timeZone to UTC instead of {zone!r}")
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session on this machine, for tests and benchmarks."""
     builder = (

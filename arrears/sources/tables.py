@@ -13,17 +13,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
+    DateType,
     DecimalType,
     DoubleType,
     FloatType,
     LongType,
+    StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 from arrears import schemas
 from arrears.schemas import LOAN
 
+# What amounts of other types become: 18 digits before the point and 16 after
+# it, which leaves room for adding up four of them.
+AMOUNT = DecimalType(34, 16)
 FRAUD_LOAN = "fraud_loan"
 TEXT_FORMATS = ("csv", "json")
 NULL_KEY_ACTIONS = ("error", "drop")
@@ -125,15 +132,34 @@ def _conform(frame: DataFrame, schema: StructType) -> DataFrame:
         both_decimal = isinstance(field.dataType, DecimalType) and isinstance(kind, DecimalType)
         if kind == field.dataType or both_decimal:
             return field.name
-        # Penalty is rounded to whole units later: cutting a float to four
-        # decimals first could lift 2.49999 over the rounding edge.
-        if field.name == "Penalty" and isinstance(kind, (FloatType, DoubleType)):
-            return F.col(field.name).cast(DoubleType())
-        return F.col(field.name).cast(field.dataType)
+        # A day of a timestamp cannot fail, and a plain cast of it lets filters reach the scan.
+        if isinstance(field.dataType, (DateType, TimestampType)) and not isinstance(kind, StringType):
+            return F.col(field.name).cast(field.dataType)
+        return _checked(field.name, kind, field.dataType)
 
     return frame.select(*[typed(field) for field in schema]).toDF(*schema.fieldNames())
 
 
+def _checked(name: str, kind: DataType, target: DataType) -> Column:
+    """The column cast to ``target``; a value that the cast would lose is an error.
+
+    It raises with ANSI on or off, where a plain cast may give null, which
+    would later count as 0. Amounts become ``AMOUNT``: a float keeps all that
+    its text form has, but for less than 1e-16.
+    """
+    if isinstance(target, DecimalType):
+        target = AMOUNT
+    value = F.col(name)
+    cast = value.try_cast(target)
+    lost = cast.isNull()
+    if isinstance(target, DecimalType) and isinstance(kind, (FloatType, DoubleType)):
+        near = F.abs(value.cast("double")) * 1e-15 + 1e-16
+        lost = lost | F.isnan(value) | (F.abs(cast.cast("double") - value.cast("double")) > near)
+    message = F.concat(F.lit(f"{name} is no {target.simpleString()}: "), value.cast("string"))
+    error = F.raise_error(message).cast(target)
+    return F.when(value.isNotNull() & lost, error).otherwise(cast).alias(name)
+
+
 def _without_null(frame: DataFrame, key: str, action: str) -> DataFrame:
     if action not in NULL_KEY_ACTIONS:
         raise ValueError(f"null_keys must be one of {NULL_KEY_ACTIONS}, got {action!r}")

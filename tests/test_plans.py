@@ -167,3 +167,24 @@ def test_tables_bucketed_by_loan_are_not_shuffled(spark, stored_book, tmp_path):
             assert sorted(full_report(book, config).collect()) == sorted(full_report(stored_book, config).collect())
     for name in ("installments", "loans", "buckets"):
         spark.sql(f"DROP TABLE bucketed_{name}")
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_backfill_pushes_a_range_on_stored_timestamps(spark, tmp_path, kind):
+    from datetime import date
+
+    from arrears.operators.loan_rows import snapshot
+    from arrears.sources.tables import load_buckets
+
+    rows = spark.sql(
+        f"SELECT '1' AS loanAccountNumber, CAST('2024-03-31 05:00:00' AS {kind}) AS bucketDate, 1 AS Max_current_DPD,"
+        " CAST(1 AS decimal(18,4)) AS Loan_Principal, CAST(1 AS decimal(18,4)) AS Loan_Interest,"
+        " CAST(1 AS decimal(18,4)) AS Overdue_Penalty, CAST(1 AS decimal(18,4)) AS Loan_Fee,"
+        " CAST(1 AS decimal(18,4)) AS Total_Outstanding_Amount"
+    )
+    rows.write.parquet(str(tmp_path / "b"))
+    days = [date(2024, 1, 31), date(2024, 2, 29), date(2024, 3, 31)]
+    found = snapshot(load_buckets(spark, str(tmp_path / "b")), days)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 1
+    assert "GreaterThanOrEqual(bucketDate" in plan and "LessThan(bucketDate" in plan

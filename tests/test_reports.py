@@ -218,8 +218,8 @@ def test_segment_sizes_count_rows_of_active_loans(spark):
         "installmentone": 2,
         "installmentonedefault": 1,
     }
-    with pytest.raises(ValueError, match="one balance date"):
-        segment_sizes(book, ReportConfig(run_date=date(2024, 4, 5), months_back=(0, 1)))
+    months = segment_sizes(book, ReportConfig(run_date=date(2024, 6, 5), months_back=(0, 1, 2, 4))).collect()
+    assert [tuple(r)[1:] for r in sorted(months)] == [(3, 0, 0), (3, 2, 1), (3, 2, 1), (3, 3, 1)]
 
 
 def test_preview_is_newest_first(spark):

@@ -1,3 +1,8 @@
+import pytest
+from conftest import make_book
+
+from arrears.config import ReportConfig
+from arrears.plans.reports import full_report
 from arrears.session import LARGE_CONF, REPORT_CONF
 
 
@@ -9,3 +14,23 @@ def test_settings_are_known_to_spark(spark):
 def test_session_uses_the_report_settings(spark):
     for key, value in REPORT_CONF.items():
         assert spark.conf.get(key) == value
+
+
+def test_another_time_zone_is_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Manila")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            full_report(make_book(spark), ReportConfig())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_the_clock_is_read_once(monkeypatch):
+    from datetime import date
+
+    import arrears.config
+
+    days = iter([date(1998, 9, 30), date(1998, 10, 1)])
+    monkeypatch.setattr(arrears.config, "today", lambda: next(days))
+    config = ReportConfig()
+    assert config.balance_dates == config.balance_dates == [date(1998, 8, 31)]

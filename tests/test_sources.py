@@ -65,7 +65,7 @@ def test_loan_and_bucket_loaders_cast_stored_types(spark, tmp_path):
     ).write.parquet(str(tmp_path / "buckets"))
     (row,) = load_buckets(spark, str(tmp_path / "buckets")).collect()
     assert row.bucketDate == MAR
-    assert row.Loan_Principal == Decimal("1.2346") and row.Max_current_DPD == 91
+    assert row.Loan_Principal == Decimal("1.23456") and row.Max_current_DPD == 91
 
 
 def test_column_names_may_differ_in_case(spark):
@@ -84,7 +84,7 @@ def test_load_from_a_table(spark):
 def test_penalty_stored_as_float_is_not_cut_before_rounding(spark):
     rows = spark.createDataFrame([installment("1", 1, DUE)], schemas.INSTALLMENTS)
     stored = rows.withColumn("Penalty", F.lit(2.49996))
-    assert as_installments(stored).first().Penalty == 2.49996
+    assert as_installments(stored).first().Penalty == Decimal("2.49996")
 
 
 def test_missing_column_is_an_error(spark):
@@ -209,6 +209,9 @@ def test_scratch_is_under_the_shared_folder(spark):
         ({"spark.checkpoint.dir": "hdfs://shared/", "spark.master": "yarn"}, "hdfs://shared/arrears/"),
         ({"spark.master": "local[2]"}, f"{tempfile.gettempdir()}/arrears/"),
         ({"spark.master": "yarn"}, None),
+        ({}, None),
+        ({"spark.master": "local-cluster[2,1,1024]"}, None),
+        ({"spark.master": "yarn", "context": "hdfs://context"}, "hdfs://context/arrears/"),
     ],
 )
 def test_scratch_never_falls_back_to_a_local_folder_on_a_cluster(conf, expected):
@@ -216,8 +219,40 @@ def test_scratch_never_falls_back_to_a_local_folder_on_a_cluster(conf, expected)
         class conf:
             get = staticmethod(lambda key, default: conf.get(key, default))
 
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: conf.get("context"))
+
     if expected:
         assert scratch_path(Session, "x").startswith(expected)
     else:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_path(Session, "x")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_amounts_survive_loading_or_fail(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+    def load(principal, flag="1"):
+        columns = (
+            f"'1' AS loanAccountNumber, 1 AS installmentNumber, date'2024-01-01' AS installmentDueDate, {flag} AS isDelinquent,"
+            f" 0 AS isCurrentDelinquent, {principal} AS Principal, 0d AS Interest, 0d AS Penalty, 0d AS Principal_paid,"
+            " 0d AS Interest_paid, 0d AS Penalty_paid"
+        )
+        (row,) = as_installments(spark.sql(f"SELECT {columns}")).collect()
+        return row
+
+    try:
+        assert load("1e15D").Principal == Decimal("1000000000000000")
+        assert load("0.00004D").Principal == Decimal("0.00004")
+        assert load("0.3333333333333333D").Principal == Decimal("0.3333333333333333")
+        assert load("'12.34567'").Principal == Decimal("12.34567")
+        assert load("CAST(NULL AS DOUBLE)").Principal is None
+        for bad in ("1e30D", "double('NaN')", "'many'"):
+            with pytest.raises(Exception, match="Principal is no"):
+                load(bad)
+        with pytest.raises(Exception, match="isDelinquent is no"):
+            load("1D", flag="'yes'")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
