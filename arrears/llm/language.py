@@ -28,7 +28,7 @@ MISS, BLOCK, BLOCKS = np.uint32(1 << 31), 512, 4096
 @dataclass
 class Model:
     """``classes``: a character's class by code point; ``tables``: per language the
-    next state by state and class, with a mark where a phrase ends."""
+    next state by state and class, with a mark where a phrase begins."""
 
     languages: list[str]
     classes: np.ndarray
@@ -68,13 +68,14 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
 
 
 def table(moves: list[dict[int, int]], width: int) -> np.ndarray:
-    """Dense next states. Where a state has no move the phrase ends: the entry is
-    marked and holds where the next phrase, which begins with that class, stands."""
+    """Dense next states. A marked entry begins a phrase: every move from the start,
+    and where a state has no move, with the state that the new phrase gets to. A
+    class that the language does not have is a phrase of its own."""
     out = np.zeros((len(moves), width), np.uint32)
     out[:] = MISS
     for code, state in moves[0].items():
         out[:, code] = MISS | np.uint32(state)
-    for state, own in enumerate(moves):
+    for state, own in enumerate(moves[1:], 1):
         for code, to in own.items():
             out[state, code] = to
     out[:, PAD] = np.arange(len(moves), dtype=np.uint32)
@@ -127,14 +128,14 @@ def phrases(model: Model, parts: list[np.ndarray]) -> np.ndarray:
         steps = np.ascontiguousarray(grid[begin : begin + BLOCKS].T).astype(np.intp)
         for k, moves in enumerate(model.tables):
             state = np.zeros(steps.shape[1], np.intp)
-            ended = np.ones(steps.shape[1], np.int64)
+            begun = np.zeros(steps.shape[1], np.int64)
             for step in steps:
                 state *= model.width
                 state += step
                 to = moves[state]
-                ended += to >> 31
+                begun += to >> 31
                 np.bitwise_and(to, ~MISS, out=state, casting="unsafe")
-            np.add.at(counts[:, k], owner[begin : begin + BLOCKS], ended)
+            np.add.at(counts[:, k], owner[begin : begin + BLOCKS], begun)
     return counts
 
 

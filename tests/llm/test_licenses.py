@@ -1,0 +1,50 @@
+import re
+
+from arrears.llm import licenses as n
+
+from .conftest import documents, prose
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def expected(text):
+    words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    hits = [
+        (i, label) for i in range(len(words)) for p, label in n.PHRASES.items() if words[i : i + len(p.split())] == p.split()
+    ]
+    at = [i for i, _ in hits]
+    return len(words), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits}))
+
+
+def base(row):
+    return tuple(row[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels"))
+
+
+def test_base_equals_brute_force(spark, odd):
+    texts = [
+        "Under the MIT license.", "cc by cc by", "CC-BY 4.0, Apache License; the GNU general PUBLIC-license", "cc", "by cc",
+        "ccby mitlicense", "é mit é license", "mit\nlicense", "mit license " * 3, "license", "", None, "gnu general public licenses",
+    ]
+    for docs in (documents(spark, texts), odd):
+        given = sorted((r["doc_id"], expected(r["text"])) for r in docs.collect() if r["doc_id"] is not None)
+        rows = n.scan_licenses(docs).collect()
+        assert len(rows) == docs.count()
+        assert sorted((r["doc_id"], base(r)) for r in rows if r["doc_id"] is not None) == given
+    assert n.scan_licenses(odd.limit(0)).collect() == []
+
+
+def test_templates_are_found_with_words_put_in_and_left_out(spark):
+    mit = n.TEMPLATES["mit"].split()
+    texts = [
+        prose(1, 200) + " " + n.TEMPLATES["bsd"].upper() + " " + prose(2, 50),
+        " ".join([*mit[:9], "inserted", *mit[9:18], *mit[19:]]),
+        " ".join(mit[: len(mit) // 3]),
+        "This is licensed under CC BY-NC 4.0",
+        "of the software " * 30,
+        " ".join(reversed(mit)),
+    ]
+    rows = {r["doc_id"]: r for r in n.scan_licenses(documents(spark, texts)).collect()}
+    assert [rows[i]["labels"] for i in range(6)] == ["bsd", "mit", "", "cc-by,cc-by-nc", "", ""]
+    assert rows[0]["score"] == 1.0 and 0.6 <= rows[1]["score"] < 1.0 and rows[2]["score"] == 0.0
+    spans = n.template_spans(documents(spark, texts).selectExpr("doc_id", "xxhash64(text) AS text_key", "text")).collect()
+    assert {(r["first"], r["last"]) for r in spans if r["doc_id"] == 0} == {(200, 199 + len(n.TEMPLATES["bsd"].split()))}

@@ -1,0 +1,69 @@
+import random
+import zlib
+
+import numpy as np
+from arrears.llm import toxicity as x
+from arrears.llm.rolling import Hasher, sliding_min
+
+from .conftest import documents, prose
+
+
+def grams(text):
+    (found,) = [np.unique(f) for _, f in x.features(Hasher(x.CHUNK), [text.encode()])] or [np.zeros(0)]
+    return found
+
+
+def test_features_are_words_pairs_and_skips():
+    assert len(grams("Alpha beta, gamma")) == 3 + 2 + 1
+    assert set(grams("alpha")) < set(grams("ALPHA beta"))
+    assert not set(grams("alpha beta")) <= set(grams("beta alpha"))
+    assert len(grams("")) == len(grams("... !")) == 0
+    own, found = next(iter(x.features(Hasher(x.CHUNK), [b"one two", b"one two"])))
+    assert sorted(found[own == 0]) == sorted(found[own == 1]) and len(found) == 6
+
+
+def test_long_texts_are_read_whole(monkeypatch):
+    monkeypatch.setattr(x, "CHUNK", 64)
+    text = prose(1, 200).encode()
+    parts = list(x.features(Hasher(64), [text, b"q" * 200]))
+    words = {int(f) for own, found in parts for f in found[own == 0]}
+    single = {int(next(iter(x.features(Hasher(64), [w])))[1][0]) for w in text.split()}
+    assert single <= words
+
+
+def test_sliding_minimum():
+    values = np.random.default_rng(1).integers(0, 1 << 62, 50).astype(np.uint64)
+    for width in (1, 2, 3, 7, 27, 50):
+        assert (sliding_min(values, width) == [values[i : i + width].min() for i in range(51 - width)]).all()
+
+
+def corpus(spark, n=600):
+    draw = random.Random(5)
+    texts, marks = [], []
+    for i in range(n):
+        toxic = i % 4 == 0
+        words = prose(i % 40, 60).split()
+        for _ in range(4 if toxic else 0):
+            words.insert(draw.randrange(len(words)), draw.choice(["vilest", "scumbag", "idiotic", "garbage"]))
+        texts.append(" ".join(words))
+        marks.append((i, 1, int(toxic)))
+    return documents(spark, texts), spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = corpus(spark)
+    rows = x.score_toxicity(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert len(rows) == 600 and sum(r["predicted"] == r["toxic"] for r in held) / len(held) > 0.97
+    assert all(r["predicted"] == (r["score"] >= 0.5) for r in rows)
+
+
+def test_odd_rows(spark, odd):
+    _, labels = corpus(spark, 8)
+    marks = labels.unionByName(spark.createDataFrame([(None, 1, 1), (1, None, None), (1, 0, 1)], labels.schema))
+    rows = x.score_toxicity(odd, marks).collect()
+    assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (2, 3, 4)}) == 1
+    assert x.score_toxicity(odd.limit(0), marks).collect() == []
+    assert {r["score"] for r in x.score_toxicity(odd, labels.limit(0)).collect()} == {0.5}
