@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.llm.frames import text_or_empty
-from arrears.sources.scratch import stage, staged
+from arrears.sources.scratch import stage
 
 # What counts as a symbol, and what separates words.
 SYMBOL = r"[#*$%&|<>]"
@@ -66,13 +66,17 @@ class LabelModel:
     on_good: tuple[float, ...]
     on_bad: tuple[float, ...]
 
+    def weights(self) -> list[dict[int, float]]:
+        """Per rule the log odds that each vote adds."""
+        pairs = zip(self.on_good, self.on_bad)
+        return [{1: math.log(g / (1 - b)), -1: math.log((1 - g) / b), 0: 0.0} for g, b in pairs]
+
     def posterior(self, rules: Sequence[Rule]) -> Column:
         """Probability that a text is good, from the columns ``vote_<rule>``."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for rule, good, bad in zip(rules, self.on_good, self.on_bad):
+        for rule, weight in zip(rules, self.weights()):
             vote = F.col(f"vote_{rule.name}")
-            for_good, for_bad = math.log(good / (1 - bad)), math.log((1 - good) / bad)
-            odds = odds + F.when(vote == 1, for_good).when(vote == -1, for_bad).otherwise(0.0)
+            odds = odds + F.when(vote == 1, weight[1]).when(vote == -1, weight[-1]).otherwise(0.0)
         return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)), 9)
 
 
@@ -136,7 +140,7 @@ def base_failed() -> Column:
 
 def vote_patterns(voted: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Texts per combination of votes: at most 3 ** len(rules) rows, whatever the input."""
-    return voted.groupBy(*[f"vote_{rule.name}" for rule in rules]).agg(F.count("*").alias("n")).coalesce(1)
+    return voted.groupBy(*[f"vote_{rule.name}" for rule in rules]).agg(F.count("*").alias("n"))
 
 
 def fit_label_model(
@@ -147,36 +151,33 @@ def fit_label_model(
     The start trusts a rule on good texts and half trusts it on bad ones. A
     rule that never fires on a kind of junk learns a low ``on_bad``, and its
     good votes then say little. A vote for good never counts against it, which
-    keeps "good" the good class. One row of sums comes back per iteration.
-    With no texts the start is returned.
+    keeps "good" the good class. The counts, at most 3 ** len(rules) whatever
+    the input, come to the driver once. With no texts the start is returned.
     """
+    votes = [f"vote_{rule.name}" for rule in rules]
+    counts = [(tuple(row[v] for v in votes), row["n"]) for row in patterns.orderBy(*votes).collect()]
     model = LabelModel(0.8, (0.98,) * len(rules), (0.5,) * len(rules))
-    for _ in range(iterations):
-        good = model.posterior(rules)
-        sums = [F.sum(F.col("n") * good).alias("good"), F.sum("n").alias("all")]
-        for i, rule in enumerate(rules):
-            vote = F.col(f"vote_{rule.name}")
-            for name, weight in (("good", good), ("bad", 1 - good)):
-                sums.append(F.sum(F.when(vote == 1, F.col("n") * weight).otherwise(0.0)).alias(f"up_{name}{i}"))
-                sums.append(F.sum(F.when(vote == -1, F.col("n") * weight).otherwise(0.0)).alias(f"down_{name}{i}"))
-        row = patterns.agg(*sums).first()
-        if not row["all"]:
-            return model
+    total = sum(n for _, n in counts)
+    for _ in range(iterations if total else 0):
+        mass = [{(of, vote): 0.0 for of in ("good", "bad") for vote in (-1, 0, 1)} for _ in rules]
+        odds, weights, good_texts = math.log(model.prior / (1 - model.prior)), model.weights(), 0.0
+        for pattern, n in counts:
+            good = 1 / (1 + math.exp(-odds - sum(w[v] for w, v in zip(weights, pattern))))
+            good_texts += n * good
+            for own, vote in zip(mass, pattern):
+                own["good", vote] += n * good
+                own["bad", vote] += n * (1 - good)
         on_good, on_bad = [], []
-        for i in range(len(rules)):
-            up, down = row[f"up_good{i}"], row[f"down_good{i}"]
+        for own in mass:
+            up, down = own["good", 1], own["good", -1]
             on_good.append(_within((up + 9.8) / (up + down + 10), 0.5, 0.98))
-            up, down = row[f"up_bad{i}"], row[f"down_bad{i}"]
-            on_bad.append(_within((down + 0.5) / (up + down + 1), 1.01 - on_good[i], 0.99))
-        updated = LabelModel(_within(row["good"] / row["all"], 0.05, 0.95), tuple(on_good), tuple(on_bad))
-        moved = max(
-            abs(a - b)
-            for a, b in zip(
-                (updated.prior, *updated.on_good, *updated.on_bad), (model.prior, *model.on_good, *model.on_bad)
-            )
-        )
+            up, down = own["bad", 1], own["bad", -1]
+            on_bad.append(_within((down + 0.5) / (up + down + 1), 1.01 - on_good[-1], 0.99))
+        updated = LabelModel(_within(good_texts / total, 0.05, 0.95), tuple(on_good), tuple(on_bad))
+        before = (model.prior, *model.on_good, *model.on_bad)
+        after = (updated.prior, *updated.on_good, *updated.on_bad)
         model = updated
-        if moved < tolerance:
+        if max(abs(x - y) for x, y in zip(before, after)) < tolerance:
             break
     return model
 
@@ -184,7 +185,7 @@ def fit_label_model(
 def grade(
     docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",), rules: Sequence[Rule] = RULES
 ) -> DataFrame:
-    """The columns ``carry`` with measures, votes, ``quality`` and ``kept``.
+    """The columns ``carry`` with measures, ``base_failed``, ``kept``, ``quality`` and votes.
 
     The measures are computed once and stored. ``base_failed`` texts are never
     kept; of the others those of a quality of one half or more. An empty or
@@ -192,31 +193,31 @@ def grade(
     rows get equal results, and no rows give no rows. Columns of ``docs``
     outside ``carry`` and ``text`` are not read, so their names cannot clash.
     """
-    kept_as = {f"_in{i}": name for i, name in enumerate(carry)}
-    source = docs.select(F.col(text).alias("_text"), *[F.col(n).alias(k) for k, n in kept_as.items()])
-    measured = with_measures(source, "_text").drop("_text")
-    voted = stage(
-        measured.select(
-            *kept_as, *MEASURES, *[rule.vote().alias(f"vote_{rule.name}") for rule in rules]
-        ),
-        "votes",
-    )
-    with staged(vote_patterns(voted, rules), "patterns") as patterns:
-        model = fit_label_model(patterns, rules)
-    failed = base_failed()
-    return voted.select(
-        *[F.col(k).alias(n) for k, n in kept_as.items()],
-        *MEASURES,
-        failed.alias("base_failed"),
-        (~failed & (model.posterior(rules) >= 0.5)).alias("kept"),
-        model.posterior(rules).alias("quality"),
-        *[f"vote_{rule.name}" for rule in rules],
+    graded = _graded(docs, text, carry, rules)
+    return graded.select(
+        *_carried(carry), *MEASURES, "base_failed", "kept", "quality", *[f"vote_{rule.name}" for rule in rules]
     )
 
 
-def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``grade`` keeps, with the same columns."""
-    return grade(docs, text, carry=docs.columns).filter("kept").select(*docs.columns)
+def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``docs`` that ``grade`` keeps, with the same columns, whatever their names."""
+    return _graded(docs, text, docs.columns, rules).filter("kept").select(*_carried(docs.columns))
+
+
+def _carried(carry: Sequence[str]) -> list[Column]:
+    return [F.col(f"_in{i}").alias(name) for i, name in enumerate(carry)]
+
+
+def _graded(docs: DataFrame, text: str, carry: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
+    own = [F.col(name).alias(f"_in{i}") for i, name in enumerate(carry)]
+    measured = with_measures(docs.select(F.col(text).alias("_text"), *own), "_text")
+    names = [f"_in{i}" for i in range(len(carry))]
+    voted = stage(
+        measured.select(*names, *MEASURES, *[rule.vote().alias(f"vote_{rule.name}") for rule in rules]), "votes"
+    )
+    model = fit_label_model(vote_patterns(voted, rules), rules)
+    quality, failed = model.posterior(rules), base_failed()
+    return voted.withColumns({"base_failed": failed, "quality": quality, "kept": ~failed & (quality >= 0.5)})
 
 
 def _within(value: float, low: float, high: float) -> float:
