@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from arrears.llm import packing as p
-from arrears.llm.bpe import Encoder
+from arrears.llm.bpe import SPECIALS, Encoder
 from tokenizers import Tokenizer
 
 from .conftest import documents, prose
@@ -17,9 +17,19 @@ STRANGE = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_specials_are_those_of_the_file(tokenizer):
+    assert {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()} == SPECIALS
+
+
+@pytest.mark.parametrize("gap", [" " * 20_000, "\n" * 20_000, "\u3000 \x85\t" * 5000, " " * 1_200_000])
+def test_long_gaps(tokenizer, gap):
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [gap, f"a b{gap}", f"{gap}a b", f"a{gap}b c{gap}\nd", f"a{gap}<|endoftext|>{gap}b"]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.encode(texts)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_ids_equal_the_tokenizers(tokenizer, tables_dir):
