@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.llm.components import connected
@@ -29,6 +29,9 @@ from arrears.sources.scratch import stage
 
 BITS, HALF, SEED = 64, 32, 42
 LEAF_PAIRS, FRONTIER = 64, 1 << 18
+LAST_DEPTH = 60
+# What names a pair of subtrees: their common depth and the prefixes of both.
+NODE_PAIR = ("swapped", "depth", "left", "right")
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -157,43 +160,37 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return root
 
 
-def near_links(fps: DataFrame, max_bits: int = 4, subtree: int = 8192) -> DataFrame:
+def near_links(fps: DataFrame, max_bits: int = 4, subtree: int = 8192, largest: int = 1 << 20) -> DataFrame:
     """Links ``a``, ``b`` between the distinct values ``fp`` whose components are
     those of all pairs within ``max_bits`` bits.
 
     A pair of subtrees yields a star per component it finds and not every
     pair, so a large group of near copies costs its size. The depth of the
     subtrees grows with the number of fingerprints: about ``subtree`` each.
+    Where fingerprints crowd under one prefix, pairs of subtrees with more than
+    ``largest`` are followed down in Spark, four levels at a time, first.
     """
     count = fps.count()
     depth = max(0, min(HALF, math.ceil(math.log2(max(1, count / subtree)))))
-    passes = [(0, max_bits // 2)] + ([(1, (max_bits - 1) // 2)] if max_bits else [])
-
-    def masks(bits: int) -> list[int]:
-        chosen = [c for n in range(min(bits, depth) + 1) for c in combinations(range(depth), n)]
-        return [sum(1 << i for i in c) for c in chosen]
-
-    def lanes(swapped: int, bits: int) -> DataFrame:
-        fp = F.col("fp")
-        key = F.expr("(shiftleft(fp, 32) | shiftrightunsigned(fp, 32))") if swapped else fp
-        rows = fps.select(key.alias("fp"))
-        prefix = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("bigint")
-        other = F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks(bits)]))
-        return rows.select("fp", prefix.alias("own"), other.alias("mask")).select(
-            F.lit(swapped).alias("swapped"),
-            F.least("own", F.col("own").bitwiseXOR(F.col("mask"))).alias("left"),
-            F.greatest("own", F.col("own").bitwiseXOR(F.col("mask"))).alias("right"),
-            "fp",
-        )
-
-    dealt = lanes(*passes[0])
-    for more in passes[1:]:
-        dealt = dealt.unionByName(lanes(*more))
-    half_bits = dict(passes)
+    half_bits = {0: max_bits // 2} | ({1: (max_bits - 1) // 2} if max_bits else {})
+
+    dealt = None
+    crowded = False
+    for swapped, bits in half_bits.items():
+        rows = fps.select(_turned("fp").alias("fp") if swapped else F.col("fp"))
+        own = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("bigint")
+        if count > largest:
+            fullest = rows.groupBy(own.alias("own")).count().agg(F.max("count")).first()[0]
+            crowded |= 2 * fullest > largest
+        pairs = rows.select(F.lit(swapped).alias("swapped"), "fp", own.alias("own"), _masks(depth, bits).alias("mask"))
+        pairs = _node_pairs(pairs, depth)
+        dealt = pairs if dealt is None else dealt.unionByName(pairs)
+    if crowded:
+        dealt = _split(dealt, depth, half_bits, max_bits, largest)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        swapped, left, right = (table.column(c)[0].as_py() for c in ("swapped", "left", "right"))
+        swapped, depth, left, right = (table.column(c)[0].as_py() for c in NODE_PAIR)
         values = np.sort(table.column("fp").to_numpy().view(np.uint64))
         if left == right:
             a, b = values, None
@@ -209,7 +206,70 @@ def near_links(fps: DataFrame, max_bits: int = 4, subtree: int = 8192) -> DataFr
             u, v = ((x << np.uint64(32)) | (x >> np.uint64(32)) for x in (u, v))
         return pa.table([u.view(np.int64), v.view(np.int64)], schema=schema)
 
-    return dealt.groupBy("swapped", "left", "right").applyInArrow(run, "a bigint, b bigint")
+    return dealt.groupBy(*NODE_PAIR).applyInArrow(run, "a bigint, b bigint")
+
+
+def _turned(column: str) -> Column:
+    return F.expr(f"(shiftleft({column}, 32) | shiftrightunsigned({column}, 32))")
+
+
+def _masks(levels: int, bits: int) -> Column:
+    """A row per way to differ in at most ``bits`` of ``levels`` bits."""
+    chosen = [c for n in range(min(bits, levels) + 1) for c in combinations(range(levels), n)]
+    return F.explode(F.array(*[F.lit(sum(1 << i for i in c)).cast("bigint") for c in chosen]))
+
+
+def _node_pairs(rows: DataFrame, depth: int) -> DataFrame:
+    """The pair of nodes that a fingerprint under ``own`` joins for a ``mask``."""
+    other = F.col("own").bitwiseXOR(F.col("mask"))
+    return rows.select(
+        "swapped",
+        F.lit(depth).alias("depth"),
+        F.least("own", other).alias("left"),
+        F.greatest("own", other).alias("right"),
+        "fp",
+    )
+
+
+def _split(dealt: DataFrame, depth: int, half_bits: dict[int, int], max_bits: int, largest: int) -> DataFrame:
+    """``dealt`` with every pair of nodes that has more than ``largest`` fingerprints
+    replaced by those pairs of its descendants that are within the budget.
+
+    A pair at depth 60 has at most 32 fingerprints, so the descent ends.
+    """
+    settled = []
+    while depth < LAST_DEPTH:
+        dealt = stage(dealt, "dealt")
+        side = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("bigint")
+        sizes = dealt.groupBy(*NODE_PAIR).agg(F.count("*").alias("n"), F.min(side).alias("a"), F.max(side).alias("b"))
+        # Two nodes of which one is empty have no links, so they need no descent.
+        sizes = sizes.filter((F.col("n") > largest) & ((F.col("left") == F.col("right")) | (F.col("a") < F.col("b"))))
+        crowded = stage(sizes.select(*NODE_PAIR), "crowded")
+        if crowded.isEmpty():
+            break
+        settled.append(dealt.join(crowded, list(NODE_PAIR), "left_anti"))
+        deeper = min(HALF if depth < HALF else LAST_DEPTH, depth + 4)
+        step = deeper - depth
+        differing = F.col("left").bitwiseXOR(F.col("right"))
+        spare = F.lit(max_bits)
+        if deeper <= HALF:
+            for swapped, bits in half_bits.items():
+                spare = F.when(F.col("swapped") == swapped, bits).otherwise(spare)
+        children = (
+            dealt.join(crowded, list(NODE_PAIR), "left_semi")
+            .select("swapped", "fp", differing.alias("differing"), spare.alias("spare"), _masks(step, step).alias("low"))
+            .filter(F.bit_count("differing") + F.bit_count("low") <= F.col("spare"))
+            .select(
+                "swapped",
+                "fp",
+                F.shiftrightunsigned("fp", BITS - deeper).alias("own"),
+                F.shiftleft("differing", step).bitwiseOR(F.col("low")).alias("mask"),
+            )
+        )
+        dealt, depth = _node_pairs(children, deeper), deeper
+    for part in settled:
+        dealt = dealt.unionByName(part)
+    return dealt
 
 
 def near_classes(

@@ -37,25 +37,35 @@ def test_fingerprint(text):
     assert s.fingerprint(text.encode()) == slow_fingerprint(text)
 
 
-@pytest.mark.parametrize("depth_subtree", [8192, 20])
-@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4, 7])
-def test_links_connect_what_all_pairs_connect(spark, depth_subtree, bits):
-    draw = random.Random(bits)
-    base = [draw.getrandbits(64) for _ in range(60)]
-    near = [b ^ sum(1 << i for i in draw.sample(range(64), draw.randint(0, 9))) for b in base for _ in range(6)]
-    values = sorted({0, (1 << 64) - 1, *base, *near})
+def assert_linked(spark, values, bits, **sizes):
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     frame = spark.createDataFrame([(v,) for v in signed], "fp bigint")
-    stars = {r["node"]: r["root"] for r in connected(s.near_links(frame, bits, depth_subtree)).collect()}
+    stars = {r["node"]: r["root"] for r in connected(s.near_links(frame, bits, **sizes)).collect()}
     pairs = [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= bits]
-    expected = roots(len(values), pairs)
-    found = {}
-    for i, v in enumerate(signed):
+    found, expected = {}, {}
+    for i, (v, r) in enumerate(zip(signed, roots(len(values), pairs))):
         found.setdefault(stars.get(v, v), set()).add(i)
-    groups = {}
-    for i, r in enumerate(expected):
-        groups.setdefault(r, set()).add(i)
-    assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
+        expected.setdefault(r, set()).add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
+
+
+@pytest.mark.parametrize("subtree", [8192, 20])
+@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4, 7])
+def test_links_connect_what_all_pairs_connect(spark, subtree, bits):
+    draw = random.Random(bits)
+    base = [draw.getrandbits(64) for _ in range(60)]
+    near = [b ^ sum(1 << i for i in draw.sample(range(64), draw.randint(0, 9))) for b in base for _ in range(6)]
+    assert_linked(spark, sorted({0, (1 << 64) - 1, *base, *near}), bits, subtree=subtree)
+
+
+@pytest.mark.parametrize("bits", [4])
+@pytest.mark.parametrize("mask", [(1 << 64) - 1, 0xFFFF_FFFF << 32])
+def test_crowded_subtrees_are_split(spark, bits, mask):
+    """Fingerprints that differ from one center in few places, or in the same half only."""
+    draw = random.Random(bits)
+    places = [i for i in range(64) if mask >> i & 1]
+    ball = {0xF123456789ABCDEF ^ sum(1 << i for i in draw.sample(places, draw.randint(0, 7))) for _ in range(400)}
+    assert_linked(spark, sorted(ball), bits, subtree=100, largest=100)
 
 
 def test_walk_finds_every_pair_of_a_dense_ball():
