@@ -5,12 +5,17 @@ templates that hold it. Votes with one offset between document and template
 lie on a diagonal; neighbouring diagonals, which words put in or left out
 produce, are merged, and a run of votes counts if it covers enough of its
 template in a span of about the template's length.
+
+Templates of one family share nearly all windows. The words that tell two of
+them apart vote at the places where they stand, and a run counts only if it
+has its own template's such words and none that only a rival has.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from difflib import SequenceMatcher
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -94,17 +99,64 @@ def base_places(words: Column, text: Column, phrases: Mapping[str, str] = PHRASE
     return F.when(maybe, F.filter(places, lambda p: p["label"].isNotNull())).otherwise(none)
 
 
-def template_places(spark: SparkSession, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
-    """``gram`` (the hash of a window of words), ``label``, ``place``, ``n_grams`` of every template."""
+def telling_words(templates: Mapping[str, str], cover: float) -> list[tuple[str, int, str, int, int]]:
+    """``label``, ``place``, ``word``, ``own``, ``rival``: the words that tell a template from its rivals.
+
+    A rival is another template whose text covers enough of this one to pass
+    for it. ``own`` is the bit of a place that must hold one of its words,
+    ``rival`` is 1 for a word that must not stand at its place. Words that one
+    of the two merely has before or after the other tell nothing.
+    """
+    words = {label: text.split() for label, text in templates.items()}
+    grams = {label: {tuple(w[i : i + GRAM]) for i in range(len(w) - GRAM + 1)} for label, w in words.items()}
     rows = []
+    for label, mine in words.items():
+        needed, forbidden = set(), set()
+        for other, theirs in words.items():
+            share = len(grams[label] & grams[other]) / len(grams[label])
+            if other == label or share < _needed(len(mine) - GRAM + 1, cover):
+                continue
+            for _, a, b, c, d in SequenceMatcher(None, mine, theirs, autojunk=False).get_opcodes():
+                if min(a, c) > 0 and b < len(mine) and d < len(theirs):
+                    own = tuple((i, mine[i]) for i in range(a, b) if mine[i] not in theirs)
+                    needed |= {own} if own else set()
+                    forbidden |= set() if own else {(a, w) for w in theirs[c:d] if w not in mine}
+        rows += [(label, i, w, 1 << bit, 0) for bit, own in enumerate(sorted(needed)) for i, w in own]
+        rows += [(label, i, w, 0, 1) for i, w in sorted(forbidden)]
+    return rows
+
+
+def _needed(n_grams: int, cover: float) -> float:
+    """The share of a template that must be there; of one of a few words all."""
+    return 1.0 if n_grams < 8 else cover
+
+
+def template_places(spark: SparkSession, templates: Mapping[str, str] = TEMPLATES, cover: float = 0.6) -> DataFrame:
+    """``gram`` (the hash of a window of words, or of a telling word), ``label``, ``place``, ``n_grams``,
+    ``own``, ``rival`` (both 0 for a window) and ``all_own`` of every template."""
+    rows, marks = [], telling_words(templates, cover)
     for label, text in templates.items():
         words = text.split()
         if not GRAM <= len(words) <= 60:
             raise ValueError(f"template {label!r} has {len(words)} words")
         n = len(words) - GRAM + 1
-        rows += [(label, i, n, *words[i : i + GRAM]) for i in range(n)]
-    frame = spark.createDataFrame(rows, "label string, place int, n_grams int, a string, b string, c string")
-    return frame.select(F.xxhash64("a", "b", "c").alias("gram"), "label", "place", "n_grams")
+        mine = [m[1:] for m in marks if m[0] == label]
+        all_own = 0
+        for _, _, own, _ in mine:
+            all_own |= own
+        rows += [(label, i, n, 0, 0, all_own, *words[i : i + GRAM]) for i in range(n)]
+        rows += [(label, i, n, own, rival, all_own, word, None, None) for i, word, own, rival in mine]
+    columns = ["label", "place", "n_grams", "own", "rival", "all_own"]
+    frame = spark.createDataFrame(
+        rows, "label string, place int, n_grams int, own bigint, rival int, all_own bigint, a string, b string, c string"
+    )
+    gram = F.when(F.col("b").isNull(), _mark_hash(F.col("a"))).otherwise(F.xxhash64("a", "b", "c"))
+    return frame.select(gram.alias("gram"), *columns)
+
+
+def _mark_hash(word: Column) -> Column:
+    """Unlike the hash of any window, whose second word is never a number."""
+    return F.xxhash64(word, F.lit(1))
 
 
 def template_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cover: float = 0.6, drift: int = 3) -> DataFrame:
@@ -113,18 +165,31 @@ def template_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, co
     ``docs`` has ``doc_id``, ``text_key``, ``text``. Only windows that a
     template holds leave the join; the templates are a fixed, small table.
     """
-    words = docs.select("doc_id", "text_key", license_words(text_or_empty()).alias("words"))
-    grams = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
-    places = words.select("doc_id", "text_key", F.posexplode(grams).alias("at", "gram"))
-    votes = places.join(F.broadcast(template_places(docs.sparkSession, templates)), "gram")
+    telling = sorted({word for _, _, word, _, _ in telling_words(templates, cover)})
+    maybe = F.lit(False)
+    for word in telling:
+        maybe = maybe | F.contains(F.lower(text_or_empty()), F.lit(word))
+    words = docs.select("doc_id", "text_key", license_words(text_or_empty()).alias("words"), maybe.alias("maybe"))
+    grams = F.transform(
+        "words", lambda w, i: F.struct(i.alias("at"), F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)).alias("gram"))
+    )
+    if telling:
+        marks = F.transform("words", lambda w, i: F.struct(i.alias("at"), F.when(w.isin(telling), _mark_hash(w)).alias("gram")))
+        marks = F.filter(marks, lambda m: m["gram"].isNotNull())
+        grams = F.when(F.col("maybe"), F.concat(grams, marks)).otherwise(grams)
+    places = words.select("doc_id", "text_key", F.inline(grams))
+    votes = places.join(F.broadcast(template_places(docs.sparkSession, templates, cover)), "gram")
     keys = ["doc_id", "text_key", "label"]
+    window = (F.col("own") == 0) & (F.col("rival") == 0)
     diagonals = (
         votes.withColumn("diagonal", F.col("at") - F.col("place"))
-        .groupBy(*keys, "n_grams", "diagonal")
+        .groupBy(*keys, "n_grams", "all_own", "diagonal")
         .agg(
-            F.bit_or(F.expr("shiftleft(1L, place)")).alias("seen"),
-            F.min("at").alias("first"),
-            F.max("at").alias("last"),
+            F.bit_or(F.when(window, F.expr("shiftleft(1L, place)")).otherwise(F.lit(0).cast("bigint"))).alias("seen"),
+            F.min(F.when(window, F.col("at"))).alias("first"),
+            F.max(F.when(window, F.col("at"))).alias("last"),
+            F.bit_or("own").alias("own"),
+            F.max("rival").alias("rival"),
         )
     )
     order = Window.partitionBy(*keys).orderBy("diagonal")
@@ -132,14 +197,20 @@ def template_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, co
     runs = (
         diagonals.withColumn("apart", apart)
         .withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "n_grams", "run")
-        .agg(F.bit_or("seen").alias("seen"), F.min("first").alias("first"), (F.max("last") + GRAM - 1).alias("last"))
+        .groupBy(*keys, "n_grams", "all_own", "run")
+        .agg(
+            F.bit_or("seen").alias("seen"),
+            F.min("first").alias("first"),
+            (F.max("last") + GRAM - 1).alias("last"),
+            F.bit_or("own").alias("own"),
+            F.max("rival").alias("rival"),
+        )
         .withColumn("share", F.bit_count("seen") / F.col("n_grams"))
     )
-    # Of a template of a few words all must be there.
     needed = F.when(F.col("n_grams") < 8, F.lit(1.0)).otherwise(F.lit(cover))
     long_enough = (F.col("share") >= needed) & (F.col("last") - F.col("first") + 1 <= 1.5 * (F.col("n_grams") + GRAM))
-    return runs.filter(long_enough).select(*keys, "share", "first", "last")
+    verified = long_enough & (F.col("own") == F.col("all_own")) & (F.col("rival") == 0)
+    return runs.filter(verified).select(*keys, "share", "first", "last")
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:

@@ -48,3 +48,27 @@ def test_templates_are_found_with_words_put_in_and_left_out(spark):
     assert rows[0]["score"] == 1.0 and 0.6 <= rows[1]["score"] < 1.0 and rows[2]["score"] == 0.0
     spans = n.template_spans(documents(spark, texts).selectExpr("doc_id", "xxhash64(text) AS text_key", "text")).collect()
     assert {(r["first"], r["last"]) for r in spans if r["doc_id"] == 0} == {(200, 199 + len(n.TEMPLATES["bsd"].split()))}
+
+
+def test_notices_of_one_family_are_told_apart(spark):
+    family = ("agpl", "gpl", "lgpl")
+    given = [(label, n.TEMPLATES[label].split()) for label in family]
+    cases = [(label, prose(3, 20) + " " + " ".join(w) + " " + prose(4, 20)) for label, w in given]
+    # Words put in, and the telling word moved by them.
+    cases += [(label, " ".join([*w[:10], "inserted", *w[10:]])) for label, w in given]
+    cases += [(label, "This program " + " ".join(w[w.index("is") :]) + " either version 3") for label, w in given]
+    # A telling word elsewhere in the text tells nothing.
+    cases += [(label, "affero lesser " + prose(5, 30) + " " + " ".join(w)) for label, w in given]
+    cases += [("gpl", "This library " + " ".join(given[1][1][2:]).replace("general", "library general"))]
+    cases += [(",".join(family), f" {prose(6, 9)} ".join(" ".join(w) for _, w in given))]
+    docs = documents(spark, [text for _, text in cases])
+    rows = {r["doc_id"]: r for r in n.scan_licenses(docs).collect()}
+    assert [rows[i]["labels"] for i in range(len(cases))] == [labels for labels, _ in cases]
+    assert [rows[i]["n_spans"] for i in range(len(cases))] == [labels.count(",") + 1 for labels, _ in cases]
+
+
+def test_only_the_gnu_family_needs_telling_words():
+    marks = n.telling_words(n.TEMPLATES, 0.6)
+    assert {(label, word, own > 0) for label, _, word, own, _ in marks} == {
+        ("agpl", "affero", True), ("lgpl", "lesser", True), ("gpl", "affero", False), ("gpl", "lesser", False),
+    }
