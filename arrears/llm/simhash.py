@@ -235,6 +235,7 @@ def _split(dealt: DataFrame, depth: int, half_bits: dict[int, int], max_bits: in
     """``dealt`` with every pair of nodes that has more than ``largest`` fingerprints
     replaced by those pairs of its descendants that are within the budget.
 
+    Of two nodes one of which is empty there are no links: such a pair goes.
     A pair at depth 60 has at most 32 fingerprints, so the descent ends.
     """
     settled = []
@@ -242,12 +243,12 @@ def _split(dealt: DataFrame, depth: int, half_bits: dict[int, int], max_bits: in
         dealt = stage(dealt, "dealt")
         side = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("bigint")
         sizes = dealt.groupBy(*NODE_PAIR).agg(F.count("*").alias("n"), F.min(side).alias("a"), F.max(side).alias("b"))
-        # Two nodes of which one is empty have no links, so they need no descent.
-        sizes = sizes.filter((F.col("n") > largest) & ((F.col("left") == F.col("right")) | (F.col("a") < F.col("b"))))
-        crowded = stage(sizes.select(*NODE_PAIR), "crowded")
-        if crowded.isEmpty():
+        both = (F.col("left") == F.col("right")) | (F.col("a") < F.col("b"))
+        large = stage(sizes.filter(F.col("n") > largest).select(*NODE_PAIR, both.alias("both")), "crowded")
+        if large.isEmpty():
             break
-        settled.append(dealt.join(crowded, list(NODE_PAIR), "left_anti"))
+        settled.append(dealt.join(large, list(NODE_PAIR), "left_anti"))
+        crowded = large.filter("both")
         deeper = min(HALF if depth < HALF else LAST_DEPTH, depth + 4)
         step = deeper - depth
         differing = F.col("left").bitwiseXOR(F.col("right"))

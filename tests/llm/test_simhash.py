@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from arrears.llm import simhash as s
 from arrears.llm.components import connected
+from pyspark.sql import functions as F
 
 from .conftest import documents, prose
 
@@ -68,6 +69,19 @@ def test_crowded_subtrees_are_split(spark, bits, mask):
     assert_linked(spark, sorted(ball), bits, subtree=100, largest=100)
 
 
+def test_crowded_nodes_without_a_partner_reach_no_task(spark):
+    """A crowd under one prefix, whose partners under every mask but one are empty."""
+    draw = random.Random(3)
+    values = sorted({0x5 << 60 | draw.getrandbits(60) for _ in range(300)} | {0x4 << 60 | draw.getrandbits(60) for _ in range(5)})
+    fps = spark.createDataFrame([(v,) for v in values], "fp bigint")
+    own = F.shiftrightunsigned("fp", 60)
+    rows = fps.select(F.lit(0).alias("swapped"), "fp", own.alias("own"), s._masks(4, 2).alias("mask"))
+    dealt = s._split(s._node_pairs(rows, 4), 4, {0: 2, 1: 1}, 4, 100)
+    sizes = dealt.groupBy(*s.NODE_PAIR).count().collect()
+    assert sizes and max(r["count"] for r in sizes) <= 100
+    assert_linked(spark, values, 4, subtree=20, largest=100)
+
+
 def test_walk_finds_every_pair_of_a_dense_ball():
     center = 0x0123456789ABCDEF
     ball = np.array(sorted({center ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i)}), np.uint64)
