@@ -31,33 +31,53 @@ def features(hasher: Hasher, texts: Sequence[bytes]) -> Iterator[tuple[np.ndarra
     """Pairs (text number, feature) in portions; a pair may repeat.
 
     Words are runs of ASCII letters in lower case, digits and other than ASCII
-    characters. A text longer than ``CHUNK`` bytes is cut at word ends, which
-    loses the pairs across a cut; so is a word longer than that.
+    characters. A text longer than ``CHUNK`` bytes is cut between words, and
+    the hashes of its last two words are carried to the next portion, which
+    forms the pairs across the cut. A word longer than that is hashed in steps.
     """
     held: list[tuple[int, bytes]] = []
     size = 0
+    # The text that was cut last, and the hashes of its last two words so far.
+    carried: tuple[int, np.ndarray] = (-1, np.zeros(0, np.uint64))
     for i, text in enumerate(texts):
         for part in _cut(text.lower()):
             if size + len(part) + 1 > hasher.limit and held:
-                yield _portion(hasher, held)
+                found, carried = _portion(hasher, held, carried)
+                yield found
                 held, size = [], 0
+            if len(part) + 1 > hasher.limit:
+                found, carried = _pairs(np.array([i]), _long_word(hasher, part), carried, i)
+                yield found
+                continue
             held.append((i, part))
             size += len(part) + 1
     if held:
-        yield _portion(hasher, held)
+        yield _portion(hasher, held, carried)[0]
 
 
 def _cut(text: bytes) -> Iterator[bytes]:
+    """Parts of at most ``CHUNK`` bytes with a separator that end with a word, or longer ones of one word."""
     limit = CHUNK - 1
-    while len(text) > limit:
-        at = text.rfind(b" ", 1, limit)
-        at = limit if at < 0 else at
-        yield text[:at]
-        text = text[at:]
-    yield text
-
-
-def _portion(hasher: Hasher, held: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(text) <= limit:
+        yield text
+        return
+    gaps = np.flatnonzero(~_WORD[np.frombuffer(text, np.uint8)])
+    at = 0
+    while len(text) - at > limit:
+        # The last gap within the limit, or the first one beyond it.
+        nth = int(np.searchsorted(gaps, at + limit, side="right")) - 1
+        if nth < 0 or gaps[nth] <= at:
+            nth += 1
+        if nth == len(gaps):
+            break
+        yield text[at : gaps[nth]]
+        at = int(gaps[nth])
+    yield text[at:]
+
+
+def _portion(
+    hasher: Hasher, held: list[tuple[int, bytes]], carried: tuple[int, np.ndarray]
+) -> tuple[tuple[np.ndarray, np.ndarray], tuple[int, np.ndarray]]:
     data = np.frombuffer(b" ".join(p for _, p in held) + b" ", np.uint8)
     inside = _WORD[data]
     edges = np.diff(inside.astype(np.int8), prepend=0)
@@ -65,16 +85,38 @@ def _portion(hasher: Hasher, held: list[tuple[int, bytes]]) -> tuple[np.ndarray,
     hasher.load(data)
     word = hasher.hash(start, end)
     ends = np.cumsum([len(p) + 1 for _, p in held])
-    part = np.searchsorted(ends, start, side="right")
-    text = np.array([i for i, _ in held], np.int64)[part]
+    text = np.array([i for i, _ in held], np.int64)[np.searchsorted(ends, start, side="right")]
+    return _pairs(text, word, carried, held[-1][0])
+
+
+def _long_word(hasher: Hasher, part: bytes) -> np.ndarray:
+    """The hash of the one word of ``part``, with at most one separator before it, whatever its length."""
+    data = np.frombuffer(part, np.uint8)[0 if _WORD[part[0]] else 1 :]
+    total, power = 0, 1
+    for at in range(0, len(data), hasher.limit):
+        piece = data[at : at + hasher.limit]
+        hasher.load(piece)
+        total += int(hasher.prefix[-1]) * power
+        power = power * int(hasher.powers[len(piece)]) % (1 << 64)
+    return mixed(np.array([total % (1 << 64)], np.uint64))
+
+
+def _pairs(
+    text: np.ndarray, word: np.ndarray, carried: tuple[int, np.ndarray], last: int
+) -> tuple[tuple[np.ndarray, np.ndarray], tuple[int, np.ndarray]]:
+    """The features of words in order, and the last text's number and last two words."""
+    # Words carried over form pairs only with those of their own text.
+    text = np.concatenate([np.full(len(carried[1]), carried[0], np.int64), text])
+    word = np.concatenate([carried[1], word])
+    kept = word[text == last][-2:].copy()
     shift = np.uint64(64 - BITS)
     found, owners = [mixed(word * np.uint64(KINDS[0] | 1)) >> shift], [text]
     for kind, step in ((KINDS[1], 1), (KINDS[2], 2)):
-        near = part[:-step] == part[step:] if len(part) > step else np.zeros(0, bool)
+        near = text[:-step] == text[step:] if len(text) > step else np.zeros(0, bool)
         a, b = word[: len(near)][near], word[step : step + len(near)][near]
         found.append(mixed(a * np.uint64(kind) + (b ^ (b >> np.uint64(29)))) >> shift)
         owners.append(text[: len(near)][near])
-    return np.concatenate(owners), np.concatenate(found).astype(np.int64)
+    return (np.concatenate(owners), np.concatenate(found).astype(np.int64)), (last, kept)
 
 
 def fit(

@@ -31,6 +31,19 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert single <= words
 
 
+def test_cuts_lose_no_pair_and_no_long_word(monkeypatch):
+    texts = [prose(2, 200), "a", ",".join(prose(3, 100).split()), "x y " + "q" * 200 + " z w", "r" * 300, "", ", " * 90 + "b c", "a b"]
+    texts = [t.encode() for t in [*texts, prose(4, 9) + " . " * 80 + prose(5, 9)]]
+    whole = [set(np.concatenate([f for _, f in x.features(Hasher(x.CHUNK), [t])]).tolist()) for t in texts]
+    monkeypatch.setattr(x, "CHUNK", 64)
+    cut = [set() for _ in texts]
+    for own, found in x.features(Hasher(64), texts):
+        for i, f in zip(own.tolist(), found.tolist()):
+            cut[i].add(f)
+    assert cut == whole
+    assert all(len(p) < 64 or b" " not in p[1:] for p in x._cut(texts[3]))
+
+
 def test_sliding_minimum():
     values = np.random.default_rng(1).integers(0, 1 << 62, 50).astype(np.uint64)
     for width in (1, 2, 3, 7, 27, 50):
