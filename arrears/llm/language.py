@@ -4,7 +4,9 @@ For each language a suffix automaton of labelled text tells how far any
 string can be matched. A text is parsed greedily into the longest phrases that
 occur in that language's text; the language that needs the fewest phrases,
 weighted by the bits a phrase costs, wins. Automata are held as dense tables,
-and many blocks of text step through them at once.
+and many blocks of text step through them at once. Moves on letters beyond the
+most frequent ones are few and held as sorted lists, so every letter of a
+sample is told from every other.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ MISS, BLOCK, BLOCKS = np.uint32(1 << 31), 512, 4096
 @dataclass
 class Model:
     """``classes``: a character's class by code point; ``tables``: per language the
-    next state by state and class, with a mark where a phrase begins."""
+    next state by state and class, with a mark where a phrase begins. Classes from
+    ``width`` on are those of rare letters, whose moves are in ``rare``: sorted
+    keys of state and class, next states, and the moves from the start by class."""
 
     languages: list[str]
     classes: np.ndarray
     width: int
     tables: list[np.ndarray]
+    rare: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     bits: list[float]
 
 
@@ -74,31 +79,60 @@ def table(moves: list[dict[int, int]], width: int) -> np.ndarray:
     out = np.zeros((len(moves), width), np.uint32)
     out[:] = MISS
     for code, state in moves[0].items():
-        out[:, code] = MISS | np.uint32(state)
+        if code < width:
+            out[:, code] = MISS | np.uint32(state)
     for state, own in enumerate(moves[1:], 1):
         for code, to in own.items():
-            out[state, code] = to
+            if code < width:
+                out[state, code] = to
     out[:, PAD] = np.arange(len(moves), dtype=np.uint32)
     return out.ravel()
 
 
+def rare_moves(moves: list[dict[int, int]], width: int, n_classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The moves on classes from ``width`` on: sorted keys, next states, and those from the start by class."""
+    found = sorted((state * n_classes + code, to) for state, own in enumerate(moves) for code, to in own.items() if code >= width)
+    keys, to = np.array(found, np.int64).reshape(-1, 2).T
+    start = np.full(n_classes - width, MISS, np.uint32)
+    for code, state in moves[0].items():
+        if code >= width:
+            start[code - width] = MISS | np.uint32(state)
+    return np.ascontiguousarray(keys), to.astype(np.uint32), start
+
+
+def equal_parts(texts: list[str], characters: int) -> list[str]:
+    """The beginnings of ``texts``, ``characters`` in all: equal shares, and what shorter ones leave goes to the others."""
+    shares, left = [0] * len(texts), characters
+    for n, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        shares[i] = min(len(texts[i]), left // (len(texts) - n))
+        left -= shares[i]
+    return [text[:share] for text, share in zip(texts, shares)]
+
+
 def train(samples: dict[str, list[str]], characters: int = 16_000, letters: int = 250) -> Model:
-    """A model of the first ``characters`` of each language's texts, taken together."""
-    texts = {lang: "\n".join(parts).lower()[:characters] for lang, parts in sorted(samples.items())}
+    """A model of ``characters`` of each language's texts, an equal share of each.
+
+    The ``letters`` most frequent letters have columns in the dense tables;
+    the others that a sample has, classes of their own all the same.
+    """
+    texts = {lang: "\n".join(equal_parts([p.lower() for p in parts], characters)) for lang, parts in sorted(samples.items())}
     seen = Counter(c for text in texts.values() for c in text if c.isalpha())
-    classes = np.full(0x110000, GAP, np.uint8)
+    ranked = sorted(seen, key=lambda c: (-seen[c], c))
+    n_classes = UNKNOWN + 1 + len(ranked)
+    classes = np.full(0x110000, GAP, np.min_scalar_type(n_classes - 1))
     alpha = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     classes[alpha] = UNKNOWN
-    ranked = sorted(seen, key=lambda c: (-seen[c], c))[:letters]
     for i, c in enumerate(ranked):
         classes[ord(c)] = UNKNOWN + 1 + i
-    width = UNKNOWN + 1 + len(ranked)
-    model = Model([], classes, width, [], [])
+    width = UNKNOWN + 1 + min(len(ranked), letters)
+    model = Model([], classes, width, [], [], [])
     for lang, text in texts.items():
         codes = encode(text, classes)
         if len(codes):
+            moves = automaton(codes.tolist())
             model.languages.append(lang)
-            model.tables.append(table(automaton(codes.tolist()), width))
+            model.tables.append(table(moves, width))
+            model.rare.append(rare_moves(moves, width, n_classes))
             model.bits.append(math.log2(len(codes) + 1))
     return model
 
@@ -118,7 +152,7 @@ def phrases(model: Model, parts: list[np.ndarray]) -> np.ndarray:
     at most one phrase a block to each language alike."""
     counts = np.zeros((len(parts), len(model.languages)), np.int64)
     sizes = np.array([-(-len(p) // BLOCK) for p in parts])
-    grid = np.zeros((int(sizes.sum()), BLOCK), np.uint8)
+    grid = np.zeros((int(sizes.sum()), BLOCK), model.classes.dtype)
     flat, at = grid.reshape(-1), 0
     for part, n in zip(parts, sizes.tolist()):
         flat[at : at + len(part)] = part
@@ -126,22 +160,42 @@ def phrases(model: Model, parts: list[np.ndarray]) -> np.ndarray:
     owner = np.repeat(np.arange(len(parts)), sizes)
     for begin in range(0, len(grid), BLOCKS):
         steps = np.ascontiguousarray(grid[begin : begin + BLOCKS].T).astype(np.intp)
+        rare = steps >= model.width
+        places = [np.flatnonzero(r) for r in rare] if rare.any() else None
+        codes = [step[at] for step, at in zip(steps, places)] if places else []
+        steps[rare] = UNKNOWN
         for k, moves in enumerate(model.tables):
             state = np.zeros(steps.shape[1], np.intp)
             begun = np.zeros(steps.shape[1], np.int64)
-            for step in steps:
+            for n, step in enumerate(steps):
+                own = _rare_next(model, k, state[places[n]], codes[n]) if places and len(places[n]) else None
                 state *= model.width
                 state += step
                 to = moves[state]
+                if own is not None:
+                    to[places[n]] = own
                 begun += to >> 31
                 np.bitwise_and(to, ~MISS, out=state, casting="unsafe")
             np.add.at(counts[:, k], owner[begin : begin + BLOCKS], begun)
     return counts
 
 
+def _rare_next(model: Model, k: int, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Next states by moves on rare letters, with a mark where a phrase begins."""
+    keys, to, start = model.rare[k]
+    n_classes = model.width + len(start)
+    out = start[code - model.width]
+    if len(keys):
+        key = state * n_classes + code
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        moved = (keys[at] == key) & (state > 0)
+        out[moved] = to[at[moved]]
+    return out
+
+
 def classify(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text; "und" and 0 without letters or a model."""
-    parts = [encode(t, model.classes) if t else np.zeros(0, np.uint8) for t in texts]
+    parts = [encode(t, model.classes) if t else np.zeros(0, model.classes.dtype) for t in texts]
     lettered = np.array([bool((p > GAP).any()) for p in parts], bool)
     names, scores = ["und"] * len(texts), np.zeros(len(texts))
     mine = np.flatnonzero(lettered) if model.languages else np.zeros(0, np.int64)
@@ -158,7 +212,7 @@ def classify(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarr
 
 def learn(labelled: DataFrame, rows: int = 64, characters: int = 16_000) -> Model:
     """Train on about ``rows`` texts per language, drawn by a hash of their id, of
-    each at most ``characters``: the sample's size does not depend on the input."""
+    each an equal share of ``characters``: the sample's size does not depend on the input."""
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.lit(float(rows)) / F.col("n")
     drawn = labelled.join(F.broadcast(counts), "lang").withColumn("draw", unit_hash(F.col("doc_id")))

@@ -27,6 +27,25 @@ def test_phrases_equal_greedy_parsing():
     assert g.phrases(model, [g.encode("zz", model.classes)])[0, 0] == 2
 
 
+def test_rare_letters_are_told_apart():
+    draw = random.Random(4)
+    letters = [chr(0x4E00 + i) for i in range(600)]
+    for n_letters in (0, 3, 250):
+        a, b = ("".join(draw.choice(letters[:k]) for _ in range(n)) for n, k in ((900, 500), (1500, 600)))
+        b += a[100:160] + a[7:300]
+        model = g.train({"x": [a], "y": [b]}, letters=n_letters)
+        counts = g.phrases(model, [g.encode(b, model.classes), g.encode("abc" + a, model.classes)])
+        assert counts.tolist()[0] == [sum(slow_phrases(b[i : i + 512], r) for i in range(0, len(b), 512)) for r in (a, b)]
+        assert counts[1, 0] == sum(slow_phrases(("???" + a)[i : i + 512], a) for i in range(0, len(a) + 3, 512))
+
+
+def test_every_drawn_text_has_an_equal_share():
+    assert g.equal_parts(["a" * 50_000, "b" * 10, "c" * 9000], 16_000) == ["a" * 7995, "b" * 10, "c" * 7995]
+    assert g.equal_parts([], 5) == [] and g.equal_parts(["ab", "cd"], 9) == ["ab", "cd"]
+    model = g.train({"x": ["abab" * 10_000, "zyxw" * 10]})
+    assert g.phrases(model, [g.encode("zyxw", model.classes)])[0, 0] == 1
+
+
 def test_long_texts_are_parsed_whole():
     model = g.train({"x": ["abcd" * 50], "y": ["wxyz" * 50]})
     names, scores = g.classify(model, ["abcd" * 300 + "wxyz" * 5000, "ABCD abcd", "", None, "123 !?", "漢字"])
