@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.llm import (
+    filter_audit,
     language,
     licenses,
     mixing,
@@ -69,6 +70,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_preference_formatting": op1_preference_formatting,
@@ -81,8 +86,12 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_preference_formatting": preferences.ORACLE}
+    return {
+        "op1_preference_formatting": preferences.ORACLE,
+        "op13_filter_audit": filter_audit.ORACLE,
+    }

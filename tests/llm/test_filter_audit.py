@@ -1,0 +1,88 @@
+import random
+import re
+from itertools import permutations
+
+import pytest
+from arrears.llm import filter_audit as f
+
+from .conftest import SCHEMA, documents, prose
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def slow(rows, labels):
+    """The audit of (id, text, part) rows by plain loops."""
+    flags = {}
+    for i, quality, toxic in labels:
+        old = flags.get(i, (0, 0))
+        flags[i] = (old[0] or quality == 1, old[1] or toxic == 1)
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    failed = []
+    for i, text, part in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {"A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words)}
+        fails["C"] = 100 * len(re.findall("[A-Z]", text)) > 10 * len(text)
+        fails["D"] = bool(re.search("[#$%&*|]", text))
+        fails["E"] = i is not None and first[text] < i
+        failed.append((part or "", {x for x in fails if fails[x]}, flags.get(i, (0, 0))))
+    out, shapley = [], {}
+    for part in {p for p, _, _ in failed}:
+        mine = [(x, y) for p, x, y in failed if p == part]
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, letter in enumerate(order, 1):
+                here = [r for r in left if letter in r[0]]
+                redundant = sum(letter in r[0] for r in mine) - len(here)
+                alone = sum(r[0] == {letter} for r in mine)
+                left = [r for r in left if letter not in r[0]]
+                lost = [sum(bool(r[1][k]) for r in here) for k in (0, 1)]
+                shapley[part, letter] = shapley.get((part, letter), 0) + len(here)
+                out.append((part, "".join(order), step, len(left), len(here), redundant, alone, *lost, letter))
+    return sorted((*r[:-1], shapley[r[0], r[-1]]) for r in out)
+
+
+def found(docs, labels):
+    columns = "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley".split()
+    return sorted(map(tuple, f.audit(docs, labels).select(*columns).collect()))
+
+
+def plain(docs):
+    return [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+
+
+def test_audit_equals_plain_loops(spark):
+    draw = random.Random(5)
+    kinds = [lambda i: prose(i, 150), lambda i: "same " * 120, lambda i: prose(i, 120).upper(), lambda i: prose(i, 9) + " #"]
+    kinds += [lambda i: prose(i % 5, 130), lambda i: prose(i % 3, 20).title()]
+    texts = [draw.choice(kinds)(i) for i in range(300)]
+    docs = documents(spark, texts[:150]).unionByName(documents(spark, texts[150:], first=500, lang="de"))
+    labels = [(i, draw.choice([0, 1, None]), draw.choice([0, 1])) for i in draw.sample(range(700), 300)]
+    assert found(docs.repartition(5), spark.createDataFrame(labels, LABELS)) == slow(plain(docs), labels)
+
+
+def test_odd_rows(spark, odd):
+    labels = [(1, 1, 1), (1, 0, None), (2, None, 1), (None, 1, 1), (5, 1, 0)]
+    frame = spark.createDataFrame(labels, LABELS).selectExpr("*", "1 AS text", "2 AS n", "3 AS bits")
+    assert found(odd, frame) == slow(plain(odd), labels)
+    assert found(odd.limit(0), frame) == []
+    assert found(odd, frame.limit(0)) == slow(plain(odd), [])
+
+
+def test_equal_hashes_need_equal_texts(spark, monkeypatch):
+    """With one hash for all texts the exact comparison alone decides."""
+    keyed = f._keyed
+    monkeypatch.setattr(f, "_keyed", lambda docs, part: keyed(docs, part).selectExpr("doc_id", "part", "0L AS h1", "0L AS h2", "text"))
+    docs = documents(spark, ["a", "b", "a", "c", "b"])
+    facts = f._keyed(docs, "lang").select("doc_id", "part", "h1", "h2")
+    assert sorted(r["doc_id"] for r in f.copies(docs, facts).collect()) == [2, 4]
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_a_text_without_words_fails_only_the_word_count(spark, n):
+    docs = spark.createDataFrame([(1, None if n else " \n", None, None, None)], SCHEMA)
+    rows = f.audit(docs, spark.createDataFrame([], LABELS)).filter("filter_order = 'EDCBA' AND step = 5").collect()
+    assert [(r["part"], r["removed"], r["unique_fails"], r["shapley"]) for r in rows] == [("", 1, 1, 120)]
