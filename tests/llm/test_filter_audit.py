@@ -28,7 +28,7 @@ def slow(rows, labels):
         fails["C"] = 100 * len(re.findall("[A-Z]", text)) > 10 * len(text)
         fails["D"] = bool(re.search("[#$%&*|]", text))
         fails["E"] = i is not None and first[text] < i
-        failed.append((part or "", {x for x in fails if fails[x]}, flags.get(i, (0, 0))))
+        failed.append((part or "", {x for x in fails if fails[x]}, flags.get(i, (0, 0)) if i is not None else (0, 0)))
     out, shapley = [], {}
     for part in {p for p, _, _ in failed}:
         mine = [(x, y) for p, x, y in failed if p == part]
