@@ -17,6 +17,7 @@ from arrears.llm import (
     quality_rules,
     simhash,
     suffix_dedup,
+    token_blocks,
     top_k,
     toxicity,
 )
@@ -70,6 +71,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_blocks.written_and_read(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -86,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
+        "op12_token_blocks": op12_token_blocks,
         "op13_filter_audit": op13_filter_audit,
     }
 
