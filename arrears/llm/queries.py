@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.llm import (
+    collocations,
     filter_audit,
     language,
     licenses,
@@ -71,6 +72,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_blocks.written_and_read(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -92,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
+        "op11_collocations": op11_collocations,
         "op12_token_blocks": op12_token_blocks,
         "op13_filter_audit": op13_filter_audit,
     }
@@ -100,5 +106,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_preference_formatting": preferences.ORACLE,
+        "op11_collocations": collocations.ORACLE,
         "op13_filter_audit": filter_audit.ORACLE,
     }
