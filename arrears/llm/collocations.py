@@ -360,7 +360,7 @@ WITH pieces AS (
   FROM documents),
 worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
 placed AS (
-  SELECT lang, unnest(w) AS w1, unnest(list_concat(w[2:], [NULL])) AS w2, unnest(list_concat(w[3:], [NULL, NULL])) AS w3
+  SELECT lang, unnest(w) AS w1, unnest(list_concat(w[2:], [NULL])) AS w2, unnest(list_concat(w[3:], [NULL, NULL])[:len(w)]) AS w3
   FROM worded WHERE len(w) > 0),
 sizes AS (SELECT lang, count(*) AS n FROM placed GROUP BY 1),
 grams AS (
