@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import struct
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -144,43 +146,91 @@ def _unpack_bits(raw: np.ndarray, width: int, block: int) -> np.ndarray:
     return out
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Ids of whole texts by a tokenizer that drops white space, kept by word.
 
     Such a tokenizer gives a text the ids of its words one after another, so a
-    word that was met before is looked up and the others go to the library in
-    one call. Text is cut at spaces and line ends only; whatever else a word
-    contains is left to the library. At most ``words`` words are held.
+    word that was met before is looked up. Text is cut at spaces and line ends
+    only. A new word of Latin characters is parted and lower-cased here, as the
+    tokenizer's file says, and its parts go to the library's BPE model one by
+    one; any other word goes to the whole tokenizer. At most ``words`` words
+    and as many parts are held; beyond that the store starts anew.
     """
 
-    def __init__(self, path: str, words: int = 400_000, longest: int = 64) -> None:
+    # The parts of a word by the tokenizer's file, for characters below U+0180; the letters and numbers there.
+    _LETTERS = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+    _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+    _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+    # Neither control characters nor other white space, nor the one letter whose lower case is two characters.
+    _LATIN = re.compile("[\u0021-\u007e\u00a1-\u012f\u0131-\u017f]+")
+
+    def __init__(self, path: str, words: int = 600_000, longest: int = 64) -> None:
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.specials = tuple(t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values())
         self.words, self.longest = words, longest
-        self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+        # Byte-level BPE writes every byte as a character: itself where that can be seen, else one from 256 on.
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        unseen = [byte for byte in range(256) if byte not in set(seen)]
+        self.letters = {byte: chr(byte) for byte in seen} | {byte: chr(256 + i) for i, byte in enumerate(unseen)}
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each text has.
+
+        Every different word of the texts is looked up once.
+        """
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        found = list(map(self.__getitem__, coded.dictionary.to_pylist()))
+        if len(self) > self.words:
+            self.clear()
+            self[""] = b""
+        if len(self.parts) > self.words:
+            self.parts.clear()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        own, word = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
+        starts, n = (np.cumsum(sizes) - sizes)[word], sizes[word]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = own[np.repeat(starts - ends[:-1], n) + np.arange(ends[-1])]
+        offsets = split.offsets.to_numpy()
+        return ids, np.diff(ends[offsets - offsets[0]])
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        wanted = set().union(*split).difference(self.known)
-        rare = {word for word in wanted if len(word) > self.longest}
-        known = self._learnt(wanted - rare)
-        if rare:
-            known = known | self._ids(list(rare))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    def _learnt(self, wanted: set[str]) -> dict[str, bytes]:
-        """The store with ``wanted`` in it; a full one starts anew after this use."""
-        store = self.known
-        if wanted:
-            store.update(self._ids(list(wanted)))
-        if len(store) > self.words:
-            self.known = {"": b""}
-        return store
-
-    def _ids(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {word: struct.pack(f"<{len(e.ids)}I", *e.ids) for word, e in zip(words, found)}
+        ids, sizes = self.numbers(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes).tolist()
+        return [ids[end - n : end].tobytes() for end, n in zip(ends, sizes.tolist())]
+
+    def __missing__(self, word: str) -> bytes:
+        if self._LATIN.fullmatch(word) and not any(mark in word for mark in self.specials):
+            ids = b"".join([self.parts.get(part) or self._part(part) for part in self._PARTS.findall(word.lower())])
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(word) <= self.longest:
+            self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        written = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        found = [token.id for token in self.tokenize(written)]
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(part) <= self.longest:
+            self.parts[part] = ids
+        return ids
+
+
+def _portions(texts: pa.Array, size: int = 16 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive texts of up to ``size`` bytes, or one longer text, with the place of the first."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    at = 0
+    while at < len(sizes):
+        n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), size, side="right")))
+        yield at, texts.slice(at, n)
+        at += n
 
 
 @functools.cache
@@ -210,32 +260,32 @@ def segments(
     """
     types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
     names = [c.split()[0] for c in SEGMENTS.split(", ")]
-    end = struct.pack("<I", end_id)
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(public_tokenizers.path(tokenizer)), TaskContext.get().partitionId()
         ids: list[int | None] = []
-        raw: list[bytes] = []
+        raw: list[np.ndarray] = []
         held = number = first = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, number, first
-            lengths = [len(r) // 4 for r in raw]
-            packed = pack_segment(np.frombuffer(b"".join(raw), "<u4"), block, share)
+            lengths = [len(r) for r in raw]
+            packed = pack_segment(np.concatenate(raw), block, share)
             row = (part, number, first, list(ids), lengths, packed)
             first, number, held = first + held, number + 1, 0
             ids.clear(), raw.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
-            texts = batch.column(1)
             keys = batch.column(0).to_pylist()
-            for at in range(0, len(keys), 256):
-                for key, found in zip(keys[at : at + 256], encoder.encode(texts.slice(at, 256).to_pylist())):
-                    found += end
+            for at, texts in _portions(batch.column(1)):
+                found, sizes = encoder.numbers(texts)
+                ends = np.cumsum(sizes).tolist()
+                for key, stop, n in zip(keys[at:], ends, sizes.tolist()):
                     ids.append(key)
-                    raw.append(found)
-                    held += len(found) // 4
+                    raw.append(np.concatenate([found[stop - n : stop], end]))
+                    held += n + 1
                     if held >= segment:
                         yield flush()
         if ids:

@@ -34,6 +34,16 @@ def test_ids_equal_the_tokenizers(tokenizer, tables_dir):
         assert got == expected
 
 
+def test_words_of_every_character_equal_the_tokenizers(tokenizer):
+    """Words that are parted here, and those at the edge of what is left to the library."""
+    marks = [chr(c) for c in range(33, 0x370)]
+    words = [a + b + c for a in marks for b in ("a", "É", "1", "'") for c in ("", "s", "ß", "LL")]
+    words += ["a" + m for m in marks] + ["don'T", "'RE", "x'lls", "<|endoftext|>", "<|x", "İ", "ǅ", "ŉ", "K", "\u0149a"]
+    found = b.WordEncoder(public_tokenizers.path("word_bpe_49k.json")).encode(words)
+    expected = tokenizer.encode_batch(words, add_special_tokens=False)
+    assert [w for w, raw, e in zip(words, found, expected) if np.frombuffer(raw, "<u4").tolist() != e.ids] == []
+
+
 @pytest.mark.parametrize("block", [8, 256, 1024])
 @pytest.mark.parametrize("share", [0.01, 0.9, 1.0])
 def test_segments_round_trip(block, share):
