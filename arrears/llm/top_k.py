@@ -3,51 +3,44 @@
 Scores are never sorted or stored. Each round counts, per query, how many fall
 into each bin of a score range, and the bin that holds the k-th best becomes
 the next range, until it is one score wide. A last pass emits the scores above
-it and the ties with the smallest ids. Queries go in blocks of a bounded size.
+it and the ties with the smallest ids.
+
+Queries and rows are dealt out to blocks of a bounded size, and a task scores a
+block of queries against a block of rows: a grid, of which every cell is an
+equal share of one job. The ranges of all queries are a table, so a round is
+as many jobs for a billion queries as for one, and nothing comes to the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.sources.scratch import discard, scratch_path, stage
+from arrears.sources.scratch import stage
 
 BINS, ROWS = 1024, 512
-BLOCK = 2048
-
-
-@dataclass
-class Ranges:
-    """Per query: the k-th best lies in [low, low + span), counted in bins of ``width``;
-    ``above`` scores are better. A query with width 0 is settled: its k-th best is ``low``."""
+# Queries and rows in a block.
+BLOCK, PART = 2048, 16_384
 
-    ids: np.ndarray
-    vectors: np.ndarray
-    low: np.ndarray
-    width: np.ndarray
-    span: np.ndarray
-    above: np.ndarray
-    k: int
+_STATE = "row bigint, low bigint, width bigint, span bigint, above bigint"
 
 
 def scaled(vectors: DataFrame, vec_id: str, embedding: str, scale: int = 256) -> DataFrame:
-    """``vec_id`` and ``v``, the components as floor(scale * x); one row per id.
+    """``row``, ``vec_id`` and ``v``, the components as floor(scale * x).
 
     Rows without an id and vectors that are null or hold null or non-finite
-    components take no part. Of rows that repeat an id the smallest vector counts.
+    components take no part. ``row`` tells rows apart that repeat an id; store
+    the frame before it is read twice.
     """
     finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast("array<double>").alias(embedding))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False)))
     whole = F.transform(embedding, lambda x: F.floor(x * F.lit(float(scale))))
-    return rows.select("vec_id", whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", whole.alias("v"))
 
 
 def top_k(
@@ -57,136 +50,147 @@ def top_k(
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     block: int = BLOCK,
+    part: int = PART,
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the k best inner products
     of every row that ``is_query`` (an expression on ``vec_id``), ties to smaller ids.
 
-    A query meets every row but its own, and gets all if they are fewer. A
+    A query meets every row but its own, and gets all if they are fewer. Rows
+    that repeat an id are rows of their own, as queries and as candidates. A
     shorter vector counts as padded with zeros. Scores are exact as long as
     they fit a long. Other columns are not read; no rows give no rows.
     """
-    spark = vectors.sparkSession
     rows = stage(scaled(vectors, vec_id, embedding), "vectors")
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    size = rows.agg(F.max(norm).alias("norm"), F.max(F.size("v")).alias("dim"), F.count_if(is_query).alias("n")).first()
-    blocks = math.ceil((size["n"] or 0) / block)
-    path = scratch_path(spark, "top")
-    for b in range(blocks):
-        mine = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b
-        # About ``block`` rows, whatever the input: the one thing a block brings to the driver.
-        queries = rows.filter(is_query & mine).orderBy("vec_id").collect()
-        if queries:
-            ids = np.array([q["vec_id"] for q in queries], np.int64)
-            matrix = _matrix([q["v"] for q in queries], size["dim"])
-            _search(rows, ids, matrix, size["norm"], k).write.mode("append").parquet(path)
-    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    if not blocks:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def _search(rows: DataFrame, ids: np.ndarray, matrix: np.ndarray, norm: float, k: int) -> DataFrame:
-    reach = np.ceil(np.sqrt((matrix.astype(float) ** 2).sum(axis=1)) * norm).astype(np.int64) + 1
-    ranges = Ranges(ids, matrix, -reach, 2 * reach // BINS + 1, 2 * reach + 1, np.zeros(len(ids), np.int64), k)
-    spark = rows.sparkSession
-    while True:
-        shared = spark.sparkContext.broadcast(ranges)
-        counts = rows.mapInArrow(_counter(shared), "q int, bin int, n bigint").groupBy("q", "bin").agg(F.sum("n").alias("n"))
-        best_first = Window.partitionBy("q").orderBy(F.desc("bin"))
-        reached = counts.withColumn("upto", F.sum("n").over(best_first))
-        need = F.lit(k) - F.element_at(F.lit(ranges.above.tolist()), F.col("q") + 1)
-        # One row per query: the best bin at which the k-th is reached.
-        holds = reached.filter(F.col("upto") >= need).groupBy("q").agg(
-            F.max_by(F.struct("bin", (F.col("upto") - F.col("n")).alias("before")), "bin").alias("at")
-        )
-        found = holds.select("q", "at.bin", "at.before").collect()
-        shared.unpersist()
-        missed = ranges.width > 0
-        for row in found:
-            q = row["q"]
-            missed[q] = False
-            ranges.low[q] += ranges.width[q] * row["bin"]
-            ranges.above[q] += row["before"]
-            ranges.span[q] = ranges.width[q]
-            ranges.width[q] = 0 if ranges.span[q] == 1 else -(-ranges.span[q] // BINS)
-        # Fewer rows than k: everything is wanted.
-        ranges.low[missed], ranges.width[missed], ranges.above[missed] = np.iinfo(np.int64).min, 0, 0
-        if (ranges.width == 0).all():
-            break
-    shared = spark.sparkContext.broadcast(ranges)
-    kept = rows.mapInArrow(_picker(shared), "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    size = rows.agg(
+        F.max(F.sqrt(square)).alias("norm"), F.max(F.size("v")).alias("dim"), F.count_if(is_query).alias("n"), F.count("*").alias("rows")
+    ).first()
+    dim, norm = size["dim"] or 0, size["norm"] or 0.0
+    queries, parts = max(1, math.ceil((size["n"] or 0) / block)), max(1, math.ceil(size["rows"] / part))
+    # Columns of their own, so that rows and queries can meet.
+    asked = rows.filter(is_query).select(*[F.col(c).alias(c) for c in rows.columns])
+
+    def numbered(blocks: int) -> Column:
+        return F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    # Every block of rows once for each block of queries, and the other way round.
+    candidates = rows.select("row", "vec_id", "v", numbered(parts).alias("part"), every(queries).alias("block"))
+    candidates = candidates.groupBy("block", "part")
+
+    def grid(state: DataFrame) -> DataFrame:
+        named = state.withColumnRenamed("row", "_row")
+        mine = asked.join(named, F.col("row") == F.col("_row")).drop("_row")
+        return mine.select("*", numbered(queries).alias("block")).select("*", every(parts).alias("part"))
+
+    reach = F.ceil(F.sqrt(square) * F.lit(norm)) + 1
+    state = asked.select(
+        "row",
+        (-reach).alias("low"),
+        (F.floor(2 * reach / BINS) + 1).alias("width"),
+        (2 * reach + 1).alias("span"),
+        F.lit(0).cast("bigint").alias("above"),
+    )
+    state = stage(state.selectExpr(*[f"CAST({c.split()[0]} AS bigint) AS {c.split()[0]}" for c in _STATE.split(", ")]), "ranges")
+    while not (unsettled := state.filter("width > 0")).isEmpty():
+        asking = grid(unsettled).groupBy("block", "part")
+        counts = candidates.cogroup(asking).applyInArrow(_counter(k, dim), "row bigint, bin int, n bigint")
+        state = stage(_narrowed(state, counts.groupBy("row", "bin").agg(F.sum("n").alias("n")), k), "ranges")
+    found = candidates.cogroup(grid(state).groupBy("block", "part")).applyInArrow(
+        _picker(k, dim), "row bigint, query_id bigint, vec_id bigint, score bigint"
+    )
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _counter(shared):
-    """Counts per query and bin of a task; only the best bins that already hold k scores,
+def _narrowed(state: DataFrame, counts: DataFrame, k: int) -> DataFrame:
+    """The next ranges: for each query the best bin at which the k-th score is reached.
+
+    A query that no bin settles has fewer than k candidates and wants all of them.
+    """
+    best_first = Window.partitionBy("row").orderBy(F.desc("bin"))
+    reached = counts.withColumn("upto", F.sum("n").over(best_first)).withColumnRenamed("row", "_row")
+    joined = state.join(reached, F.col("row") == F.col("_row"), "left")
+    at = F.when(F.col("upto") >= F.lit(k) - F.col("above"), F.struct("bin", (F.col("upto") - F.col("n")).alias("before")))
+    best = joined.groupBy("row", "low", "width", "span", "above").agg(F.max(at).alias("at"))
+    wide = F.col("width")
+    return best.select(
+        "row",
+        F.when(wide == 0, F.col("low"))
+        .when(F.col("at").isNull(), F.lit(-(1 << 63)))
+        .otherwise(F.col("low") + wide * F.col("at.bin"))
+        .alias("low"),
+        F.when((wide <= 1) | F.col("at").isNull(), 0).otherwise(F.floor((wide - 1) / BINS) + 1).cast("bigint").alias("width"),
+        F.when(wide == 0, F.col("span")).otherwise(wide).alias("span"),
+        F.when(wide == 0, F.col("above")).when(F.col("at").isNull(), 0).otherwise(F.col("above") + F.col("at.before")).cast("bigint").alias("above"),
+    )
+
+
+def _counter(k: int, dim: int):
+    """Counts per query and bin of a cell; only the best bins that already hold k scores,
     since no lower one can hold the k-th best of all."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r: Ranges = shared.value
-        counts = np.zeros((len(r.ids), BINS), np.int64)
-        # A range of width 0 is settled and counts nothing.
-        open_rows = np.flatnonzero(r.width > 0)
-        low, width, span = (x[open_rows, None] for x in (r.low, r.width, r.span))
-        base = (open_rows * BINS)[:, None]
-        for ids, vectors in _vectors(batches, r.vectors.shape[1]):
-            scores = _scores(r.vectors[open_rows], vectors)
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        low, width, span = (queries.column(c).to_numpy()[:, None] for c in ("low", "width", "span"))
+        own, asked = queries.column("row").to_numpy(), _matrix(queries, dim)
+        counts = np.zeros((len(own), BINS), np.int64)
+        base = (np.arange(len(own)) * BINS)[:, None]
+        for at in range(0, rows.num_rows, ROWS):
+            some = rows.slice(at, ROWS)
+            scores = _scores(asked, _matrix(some, dim))
+            inside = (scores >= low) & (scores < low + span) & (own[:, None] != some.column("row").to_numpy()[None, :])
             bins = (scores - low) // width
-            valid = (scores >= low) & (scores < low + span) & (r.ids[open_rows, None] != ids[None, :])
-            counts += np.bincount((bins + base)[valid], minlength=counts.size).reshape(counts.shape)
+            counts += np.bincount((bins + base)[inside], minlength=counts.size).reshape(counts.shape)
         better = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1] - counts
-        q, b = np.nonzero((counts > 0) & (better < r.k))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(q.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(counts[q, b])], names=["q", "bin", "n"]
-        )
+        q, b = np.nonzero((counts > 0) & (better < k))
+        return pa.table([pa.array(own[q]), pa.array(b.astype(np.int32)), pa.array(counts[q, b])], names=["row", "bin", "n"])
 
     return run
 
 
-def _picker(shared):
-    """Scores better than the k-th, and of those equal to it a task's smallest ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r: Ranges = shared.value
-        wanted = (r.k - r.above).astype(np.int64)
-        ties: list[list[int]] = [[] for _ in r.ids]
-        for ids, vectors in _vectors(batches, r.vectors.shape[1]):
-            scores = _scores(r.vectors, vectors)
-            other = r.ids[:, None] != ids[None, :]
-            q, c = np.nonzero((scores > r.low[:, None]) & other)
-            yield _found(r.ids[q], ids[c], scores[q, c])
-            q, c = np.nonzero((scores == r.low[:, None]) & other)
-            for i in np.unique(q):
-                ties[i] = sorted(ties[i] + ids[c[q == i]].tolist())[: wanted[i]]
+def _picker(k: int, dim: int):
+    """Scores better than the k-th, and of those equal to it a cell's smallest ids."""
+
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        low, above = (queries.column(c).to_numpy() for c in ("low", "above"))
+        own, names, asked = queries.column("row").to_numpy(), queries.column("vec_id").to_numpy(), _matrix(queries, dim)
+        parts = []
+        ties: list[list[int]] = [[] for _ in own]
+        for at in range(0, rows.num_rows, ROWS):
+            some = rows.slice(at, ROWS)
+            ids = some.column("vec_id").to_numpy()
+            scores = _scores(asked, _matrix(some, dim))
+            other = own[:, None] != some.column("row").to_numpy()[None, :]
+            q, c = np.nonzero((scores > low[:, None]) & other)
+            parts.append(_found(own[q], names[q], ids[c], scores[q, c]))
+            q, c = np.nonzero((scores == low[:, None]) & other)
+            for i in np.unique(q).tolist():
+                ties[i] = sorted(ties[i] + ids[c[q == i]].tolist())[: k - int(above[i])]
         q = np.repeat(np.arange(len(ties)), [len(t) for t in ties])
-        yield _found(r.ids[q], np.array([i for t in ties for i in t], np.int64), r.low[q])
+        parts.append(_found(own[q], names[q], np.array([i for t in ties for i in t], np.int64), low[q]))
+        return pa.concat_tables(parts)
 
     return run
 
 
-def _found(query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
+def _found(row: np.ndarray, query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> pa.Table:
+    columns = [pa.array(x.astype(np.int64)) for x in (row, query, vec, score)]
+    return pa.table(columns, names=["row", "query_id", "vec_id", "score"])
 
 
-def _vectors(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            part = batch.slice(at, ROWS)
-            lists = part.column(1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            sizes = lists.value_lengths().to_numpy()
-            if (sizes == dim).all():
-                matrix = flat.reshape(-1, dim)
-            else:
-                matrix = np.zeros((len(sizes), dim), np.int64)
-                matrix[np.arange(dim)[None, :] < sizes[:, None]] = flat
-            yield part.column(0).to_numpy(), matrix
-
-
-def _matrix(rows: list[list[int]], dim: int) -> np.ndarray:
-    return np.array([r + [0] * (dim - len(r)) for r in rows], np.int64).reshape(len(rows), dim)
+def _matrix(table: pa.Table, dim: int) -> np.ndarray:
+    """The column ``v`` as a matrix, shorter vectors padded with zeros."""
+    lists = table.column("v").combine_chunks()
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    sizes = lists.value_lengths().to_numpy()
+    if (sizes == dim).all():
+        return flat.reshape(-1, dim)
+    matrix = np.zeros((len(sizes), dim), np.int64)
+    matrix[np.arange(dim)[None, :] < sizes[:, None]] = flat
+    return matrix
 
 
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -196,3 +200,18 @@ def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2**53:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
     return a @ b.T
+
+
+ORACLE = """
+WITH finite AS (
+  SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.own, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM finite q JOIN finite c ON q.vec_id % 50 = 0 AND q.own <> c.own),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
