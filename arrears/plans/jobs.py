@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from arrears.config import ReportConfig
 from arrears.plans.reports import full_report
-from arrears.schemas import BALANCE_DATE, REPORT, REPORT_COLUMNS
-from arrears.sources.history import append_history, rebuild_history, upsert_history
-from arrears.sources.report_csv import export_raw_csv, file_columns, read_raw_reports
+from arrears.schemas import BALANCE_DATE, REPORT_COLUMNS
+from arrears.sources.history import prepare_append, prepare_upsert, read_history, rebuild_history
+from arrears.sources.report_csv import export_raw_csv, read_raw_reports
 from arrears.sources.scratch import staged
 from arrears.sources.tables import LoanBook
 
-HISTORY_WRITERS = {"upsert": upsert_history, "append": append_history}
+HISTORY_WRITERS = {"upsert": prepare_upsert, "append": prepare_append}
 
 
 def monthly_run(
@@ -23,20 +23,22 @@ def monthly_run(
 ) -> DataFrame:
     """Compute the report once, add it to the history and save it as CSV.
 
-    Returns the report as the CSV holds it.
+    The history changes last and at once: a run that stops earlier, also
+    between the two, leaves it as it was and can be repeated. Returns the
+    report as the CSV holds it.
     """
-    write = HISTORY_WRITERS[into_history]
+    prepare = HISTORY_WRITERS[into_history]
     with staged(full_report(book, config), "monthly") as report:
-        write(report, history)
+        commit = prepare(report, history)
         export_raw_csv(report, csv)
+        commit()
     return read_raw_reports(report.sparkSession, csv)
 
 
 def rebuild(book: LoanBook, config: ReportConfig, history: str) -> None:
     """Replace the history with the months of ``config``, computed in one job.
 
-    Overwriting deletes the old history first, so the rows are complete and
-    stored before that: a run that fails while computing loses nothing.
+    The old months count until the new ones are stored whole.
     """
     with staged(full_report(book, config), "rebuild") as report:
         rebuild_history(report, history)
@@ -53,8 +55,7 @@ def monthly_summary(
     if csv is not None:
         saved.append(read_raw_reports(spark, csv, with_files=True))
     if history is not None:
-        rows = spark.read.schema(REPORT).parquet(history)
-        saved.append(rows.select(*REPORT_COLUMNS, *file_columns()))
+        saved.append(read_history(spark, history, with_files=True))
     if not saved:
         raise ValueError("name a CSV path, a history path or both")
 

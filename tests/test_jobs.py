@@ -9,7 +9,7 @@ from conftest import MARCH, bucket, installment, loan, make_book
 
 from arrears.config import ReportConfig
 from arrears.plans.jobs import monthly_run, monthly_summary, rebuild
-from arrears.sources.history import read_history
+from arrears.sources.history import read_history, upsert_history
 from arrears.sources.report_csv import export_raw_csv, read_raw_reports
 
 RUN = date(2024, 4, 5)
@@ -77,3 +77,67 @@ def test_summary_takes_the_newest_file_of_a_month(spark, book, tmp_path):
 def test_summary_needs_a_source(spark):
     with pytest.raises(ValueError):
         monthly_summary(spark)
+
+
+class Stopped(Exception):
+    pass
+
+
+def stop(*_, **__):
+    raise Stopped
+
+
+@pytest.mark.parametrize("at", ["arrears.plans.jobs.export_raw_csv", "arrears.sources.history._write_list"])
+def test_a_monthly_run_that_stops_leaves_the_history(spark, book, tmp_path, monkeypatch, at):
+    history, csv = str(tmp_path / "history"), str(tmp_path / "csv")
+    monthly_run(book, ReportConfig(run_date=date(2024, 3, 5)), history, csv)
+    before = read_history(spark, history)
+    with monkeypatch.context() as broken, pytest.raises(Stopped):
+        broken.setattr(at, stop)
+        monthly_run(book, ReportConfig(run_date=RUN), history, csv)
+    assert counts(before) == counts(read_history(spark, history)) == {FEBRUARY: 2}
+    monthly_run(book, ReportConfig(run_date=RUN), history, csv)
+    assert counts(read_history(spark, history)) == {FEBRUARY: 2, MARCH: 2}
+
+
+def test_a_rebuild_that_stops_leaves_the_history(spark, book, tmp_path, monkeypatch):
+    history = str(tmp_path / "history")
+    rebuild(book, ReportConfig(run_date=RUN, months_back=(0, 1)), history)
+    with monkeypatch.context() as broken, pytest.raises(Stopped):
+        broken.setattr("arrears.sources.history._write_list", stop)
+        rebuild(book, ReportConfig(run_date=date(2020, 1, 5)), history)
+    assert counts(read_history(spark, history)) == {FEBRUARY: 2, MARCH: 2}
+
+
+def test_a_list_that_was_not_finished_does_not_count(spark, book, tmp_path):
+    history = tmp_path / "history"
+    rebuild(book, ReportConfig(run_date=RUN), str(history))
+    half = history / "versions" / "00000002"
+    half.mkdir()
+    (half / "part-00000.json").write_text("")
+    assert counts(read_history(spark, str(history))) == {MARCH: 2}
+    rebuild(book, ReportConfig(run_date=RUN, months_back=(1,)), str(history))
+    assert counts(read_history(spark, str(history))) == {FEBRUARY: 2}
+
+
+def test_readers_keep_what_they_began_to_read_and_old_folders_go(spark, book, tmp_path):
+    history = tmp_path / "history"
+    rebuild(book, ReportConfig(run_date=RUN), str(history))
+    first = read_history(spark, str(history))
+    rebuild(book, ReportConfig(run_date=RUN, months_back=(1,)), str(history))
+    assert counts(first) == {MARCH: 2}
+    for _ in range(2):
+        rebuild(book, ReportConfig(run_date=RUN), str(history))
+    assert len(list((history / "data").glob("run=*"))) == 2
+    assert len(list((history / "versions").glob("[0-9]*"))) == 2
+
+
+def test_a_plain_folder_of_months_becomes_a_history(spark, book, tmp_path):
+    plain, history = str(tmp_path / "plain"), str(tmp_path / "history")
+    rebuild(book, ReportConfig(run_date=RUN, months_back=(0, 1)), history)
+    read_history(spark, history).write.partitionBy("Balance_Date").parquet(plain)
+    assert counts(read_history(spark, plain)) == {FEBRUARY: 2, MARCH: 2}
+    stale = read_history(spark, history).filter("Balance_Date = '2024-03-31'")
+    upsert_history(stale.replace(2, 7, ["firstpaymentoverallobservation"]), plain)
+    assert counts(read_history(spark, plain)) == {FEBRUARY: 2, MARCH: 7}
+    assert counts(monthly_summary(spark, history=plain)) == {FEBRUARY: 2, MARCH: 7}
