@@ -12,6 +12,7 @@ from arrears.config import CLOSED_STATUSES
 from arrears.functions import predicates as p
 from arrears.functions.amounts import or_zero, whole_units
 from arrears.schemas import LOAN
+from arrears.session import require_utc
 from arrears.sources.tables import FRAUD_LOAN
 
 # kind: (which installments, what must hold on them)
@@ -32,6 +33,7 @@ def installment_balances(installments: DataFrame, kind: str, balance_date: date)
     first installment. Those installments are read along and marked in the
     same grouping, which saves a second scan and an anti join.
     """
+    require_utc(installments.sparkSession)
     which, conditions = BALANCE_KINDS[kind]
     counted = which()
     for condition in conditions:
@@ -73,6 +75,7 @@ def active_loans(loans: DataFrame, closed_statuses: Sequence[str] = CLOSED_STATU
 
 def cohort_loans(loans: DataFrame, year: int) -> DataFrame:
     """Rows of loans disbursed in ``year``."""
+    require_utc(loans.sparkSession)
     return loans.filter(p.disbursed() & p.disbursed_in(year)).select(LOAN)
 
 

@@ -1,8 +1,11 @@
+from datetime import date
+
 import pytest
 from conftest import make_book
 
 from arrears.config import ReportConfig
-from arrears.plans.reports import full_report
+from arrears.operators.loan_sets import cohort_loans, installment_balances
+from arrears.plans.reports import full_report, segment_sizes
 from arrears.session import LARGE_CONF, REPORT_CONF
 
 
@@ -25,9 +28,22 @@ def test_another_time_zone_is_refused(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_the_clock_is_read_once(monkeypatch):
-    from datetime import date
+def test_no_operator_takes_days_of_another_zone(spark):
+    book = make_book(spark)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Manila")
+    try:
+        for build in (
+            lambda: installment_balances(book.installments, "first", date(2024, 3, 31)),
+            lambda: cohort_loans(book.loans, 2022),
+            lambda: segment_sizes(book, ReportConfig()),
+        ):
+            with pytest.raises(ValueError, match="UTC"):
+                build()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+
+def test_the_clock_is_read_once(monkeypatch):
     import arrears.config
 
     days = iter([date(1998, 9, 30), date(1998, 10, 1)])
