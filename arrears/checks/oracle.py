@@ -211,6 +211,10 @@ def _sizes(as_of: date = AS_OF) -> str:
            (SELECT count(DISTINCT loanAccountNumber) FROM {loan_set('first_default', as_of)} d) AS installmentonedefault"""
 
 
+# The newest fixed date, and the last day of the month before the one that the database is in.
+_LATEST = f"DATE '{AS_OF}'"
+_TODAY = "CAST(date_trunc('month', current_date) - INTERVAL 1 DAY AS DATE)"
+
 _BALANCE_DATES = """
 SELECT run_date, months_back,
        CAST(date_trunc('month', run_date - to_months(months_back)) - INTERVAL 1 DAY AS DATE) AS Balance_Date
@@ -254,6 +258,7 @@ def oracle_sql() -> dict[str, str]:
         f" FROM ({report(counts_only=True)}) c",
         "kri_monthly_summary": newest_first,
         "segment_sizes": f"{LOAN_BOOK} {_sizes()}",
+        "segment_sizes_today": f"{LOAN_BOOK} {_sizes().replace(_LATEST, _TODAY)}",
         "segment_sizes_by_month": f"{LOAN_BOOK} {' UNION ALL '.join(map(_sizes, MONTH_ENDS))}",
         "report_preview": f"{newest_first} LIMIT 3",
     }

@@ -15,7 +15,7 @@ from arrears.functions.dates import balance_date
 from arrears.operators.loan_sets import active_loans, cohort_loans, fraud_accounts, installment_balances
 from arrears.plans.jobs import monthly_run, monthly_summary, rebuild
 from arrears.plans.reports import count_report, full_report, preview, segment_report, segment_sizes
-from arrears.schemas import BALANCE_DATE, LOAN
+from arrears.schemas import BALANCE_DATE, LOAN, REPORT_COLUMNS
 from arrears.sources.history import append_history, read_history, upsert_history
 from arrears.sources.report_csv import export_raw_csv, read_raw_counts, read_raw_reports
 from arrears.sources.scratch import scratch_path, stage
@@ -63,6 +63,7 @@ def queries() -> dict[str, Query]:
         "kri_csv_counts": csv_counts,
         "kri_monthly_summary": summary,
         "segment_sizes": partial(_report, build=segment_sizes, config=LATEST),
+        "segment_sizes_today": partial(_report, build=segment_sizes, config=None),
         "segment_sizes_by_month": partial(_report, build=segment_sizes, config=FOUR_MONTHS),
         "report_preview": lambda spark, sf_dir: preview(full_report(loan_book(spark, sf_dir), FOUR_MONTHS), 3),
     }
@@ -88,8 +89,9 @@ def _segment(spark: SparkSession, sf_dir: str, name: str, config: ReportConfig)
     return segment_report(loan_book(spark, sf_dir), config, name)
 
 
-def _report(spark: SparkSession, sf_dir: str, build: Callable, config: ReportConfig) -> DataFrame:
-    return build(loan_book(spark, sf_dir), config)
+def _report(spark: SparkSession, sf_dir: str, build: Callable, config: ReportConfig | None) -> DataFrame:
+    """Without a config, as of today."""
+    return build(loan_book(spark, sf_dir), config or ReportConfig(cohort_year=COHORT_YEAR))
 
 
 def report_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,10 +161,12 @@ def csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two months in the history and two saved CSVs, one date in both."""
+    """Three months in the history and two in a CSV saved later, which corrects the date in both."""
     history, csv = scratch_path(spark, "history"), scratch_path(spark, "csv")
     months = _staged_months(spark, sf_dir)
     older, newer = F.col(BALANCE_DATE) <= MONTH_ENDS[2], F.col(BALANCE_DATE) >= MONTH_ENDS[2]
-    upsert_history(months.filter(older), history)
+    wrong = F.when(F.col(BALANCE_DATE) == MONTH_ENDS[2], F.lit(-1).cast("bigint"))
+    count = REPORT_COLUMNS[1]
+    upsert_history(months.filter(older).withColumn(count, F.coalesce(wrong, F.col(count))), history)
     export_raw_csv(months.filter(newer), csv)
     return monthly_summary(spark, csv=csv, history=history)

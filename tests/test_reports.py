@@ -192,10 +192,33 @@ def test_backfill_moves_due_dates_but_not_status(spark):
     assert rows[MARCH].cntsecondinstallmentdefault == 0
 
 
+# The columns of saved reports, in their order.
+FULL_NAMES = """
+Balance_Date firstpaymentdefaultcnt firstpaymentoverallobservation firstpaymentdefault
+firstpaymentTotal_Outstanding_Amount firstpaymenttotalamount firstpaymentdefaultv cntsecondinstallmentdefault
+secondplusoverallobservation secondpluspaymentdefault cntsecondTotal_Outstanding_Amount secondplustotalamount
+secondpluspaymentdefaultv cnt90plusoveralldefault totalobservedportfolio overall90plusdefaultrate
+cnt90plusoverallTotal_Outstanding_Amount totalobservedportfoliototalamount overall90plusdefaultratev
+cnt90plusfrauddefault totalobservationfraud90plusportfolio fraud90plusdefaultrate
+cnt90plusfrauddefaultTotal_Outstanding_Amount totalobservationfraud90plusportfoliototalamount
+fraud90plusdefaultratev total90plustdefault2022portfolio totalobservation2022portfolio
+total90plus2022defaultrate total90plustdefault2022portfolioTotal_Outstanding_Amount
+totalobservation2022portfoliototalamount total90plus2022defaultratev
+""".split()
+COUNT_NAMES = """
+Balance_Date firstpaymentdefaultcnt firstpaymentoverallobservation firstpaymentdefault
+cntsecondinstallmentdefault secondplusoverallobservation secondpluspaymentdefault cnt90plusoveralldefault
+totalobservedportfolio overall90plusdefaultrate cnt90plusfrauddefault totalobservationfraud90plusportfolio
+fraud90plusdefaultrate total90plustdefault2022portfolio totalobservation2022portfolio
+total90plus2022defaultrate
+""".split()
+
+
 def test_report_layout(spark):
     book = make_book(spark)
     full, counts = full_report(book, CONFIG), count_report(book, CONFIG)
-    assert len(REPORT_COLUMNS) == 31 and len(COUNT_REPORT_COLUMNS) == 16
+    assert full.columns == REPORT_COLUMNS == FULL_NAMES and len(FULL_NAMES) == 31
+    assert counts.columns == COUNT_REPORT_COLUMNS == COUNT_NAMES and len(COUNT_NAMES) == 16
     assert [(f.name, f.dataType) for f in full.schema] == [(f.name, f.dataType) for f in REPORT]
     assert [(f.name, f.dataType) for f in counts.schema] == [(f.name, f.dataType) for f in COUNT_REPORT]
 
