@@ -18,12 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.frames import crc_bucket, unit_hash
 
 PAD, GAP, UNKNOWN = 0, 1, 2
+# Letters with a column of their own in a language's table.
+LETTERS = 64
 MISS, BLOCK, BLOCKS = np.uint32(1 << 31), 512, 4096
 
 
@@ -210,17 +212,52 @@ def classify(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarr
     return names, scores
 
 
-def learn(labelled: DataFrame, rows: int = 64, characters: int = 16_000) -> Model:
-    """Train on about ``rows`` texts per language, drawn by a hash of their id, of
-    each an equal share of ``characters``: the sample's size does not depend on the input."""
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.lit(float(rows)) / F.col("n")
-    drawn = labelled.join(F.broadcast(counts), "lang").withColumn("draw", unit_hash(F.col("doc_id")))
-    drawn = drawn.filter(F.col("draw") < share).select("lang", "draw", "doc_id", F.substring("text", 1, characters).alias("text"))
+def drawn_rows(labelled: DataFrame, rows: int, characters: int) -> DataFrame:
+    """``lang``, ``place`` and ``text`` of at most ``rows`` different labelled rows per language.
+
+    Rows come in order of a hash of id and text, whatever ids repeat; those
+    longer than ``characters`` come last, the shortest first. Most go within
+    a portion of their language, and only the texts of drawn rows are read.
+    """
+    key = F.xxhash64("text")
+    known = labelled.select("lang", "doc_id", key.alias("key"), F.length("text").alias("size")).distinct()
+    known = known.withColumn("late", F.greatest(F.col("size") - characters, F.lit(0)))
+    known = known.withColumn("draw", unit_hash(F.col("doc_id"), F.col("key")))
+    order = [F.col(c) for c in ("late", "draw", "doc_id", "key")]
+    some = Window.partitionBy("lang", F.pmod(F.hash("key", "doc_id"), F.lit(64))).orderBy(*order)
+    known = known.withColumn("place", F.row_number().over(some)).filter(F.col("place") <= rows)
+    known = known.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    chosen = known.filter(F.col("place") <= rows).toDF("_lang", "_id", "_key", *known.columns[3:])
+    same = (F.col("lang") == F.col("_lang")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    # Of a longer text no more than ``characters`` is ever used.
+    text = F.substring("text", 1, characters).alias("text")
+    return labelled.join(chosen, same).select("lang", "place", text).groupBy("lang", "place").agg(F.min("text").alias("text"))
+
+
+def whole_texts(texts: list[str], characters: int) -> list[str]:
+    """The texts, in order and whole, that together have at most ``characters``. If not
+    even one fits, the beginning of the first."""
+    kept, left = [], characters
+    for text in texts:
+        if len(text) <= left:
+            kept.append(text)
+            left -= len(text)
+    return kept or [text[:characters] for text in texts[:1]]
+
+
+def learn(labelled: DataFrame, rows: int = 64, characters: int = 16_000, table_bytes: int = 256 << 20) -> Model:
+    """Train on whole texts of at most ``rows`` rows and ``characters`` characters per language.
+
+    The sample's size does not depend on the input. All tables together stay
+    below ``table_bytes``: where languages are many, each gets fewer characters.
+    """
+    languages = labelled.select("lang").distinct().count()
+    # Two states a character at most, four bytes a column.
+    characters = max(200, min(characters, table_bytes // (max(1, languages) * 8 * (UNKNOWN + 1 + LETTERS))))
     samples: dict[str, list[str]] = {}
-    for row in sorted(drawn.collect(), key=lambda r: (r["draw"], r["doc_id"], r["text"])):
+    for row in drawn_rows(labelled, rows, characters).orderBy("lang", "place").toLocalIterator():
         samples.setdefault(row["lang"], []).append(row["text"])
-    return train(samples, characters)
+    return train({lang: whole_texts(texts, characters) for lang, texts in samples.items()}, characters, LETTERS)
 
 
 def identify(docs: DataFrame, rows: int = 64, characters: int = 16_000) -> DataFrame:

@@ -75,3 +75,35 @@ def test_odd_rows(spark, odd):
     unlabelled = spark.createDataFrame([(1, "some text", None, None, 9)], SCHEMA)
     assert [tuple(r)[2:] for r in g.identify(unlabelled).collect()] == [("und", 0.0)]
     assert np.isfinite([r["score"] for r in rows]).all()
+
+
+def test_whole_texts_within_the_budget():
+    assert g.whole_texts(["abc", "defgh", "ij", "k"], 6) == ["abc", "ij", "k"]
+    assert g.whole_texts(["abcdef"], 4) == ["abcd"] and g.whole_texts([], 4) == []
+
+
+def test_a_language_under_one_id_is_learnt_from_few_rows(spark):
+    """Neither repeated ids nor repeated rows decide how many rows are drawn."""
+    draw = random.Random(3)
+    rows = [(7, "".join(draw.choice("abcd ") for _ in range(60)), "x", None, None) for _ in range(300)]
+    rows += [(9, "wxyz " * 9, "y", None, None)] * 400 + [(i, "m" * 900, "z", None, None) for i in range(20)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = g.drawn_rows(frame, 10, 500).collect()
+    sizes = {lang: sum(r["lang"] == lang for r in found) for lang in "xyz"}
+    assert sizes == {"x": 10, "y": 1, "z": 10}
+    assert {r["text"] for r in found if r["lang"] == "x"} <= {r[1] for r in rows}
+    again = g.drawn_rows(frame.orderBy("text").coalesce(2), 10, 500).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+
+
+def test_many_languages_share_the_tables(spark):
+    draw = random.Random(6)
+    rows = []
+    for n in range(200):
+        letters = "".join(draw.sample("abcdefghijklmnopqrstuvwxyz", 6)) + " "
+        rows += [(1000 * n + i, "".join(draw.choice(letters) for _ in range(300)), f"l{n:03}", None, None) for i in range(4)]
+    model = g.learn(spark.createDataFrame(rows, SCHEMA), table_bytes=32 << 20)
+    assert len(model.languages) == 200 and sum(t.nbytes for t in model.tables) < 32 << 20
+    texts = ["".join(draw.choice(rows[4 * n][1]) for _ in range(600)) for n in range(0, 200, 20)]
+    names, _ = g.classify(model, texts)
+    assert sum(name == f"l{n:03}" for name, n in zip(names, range(0, 200, 20))) >= 8
