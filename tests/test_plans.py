@@ -163,6 +163,16 @@ def test_tables_bucketed_by_loan_are_not_shuffled(spark, stored_book, tmp_path):
     with conf(spark, autoBroadcastJoinThreshold=-1, sources__bucketing__autoBucketedScan__enabled="false"):
         # the totals alone
         assert nodes(plan_of(segment_report(book, ONE_MONTH, "overall_90plus")), "Exchange") == 1
+        # A backfill leaves the snapshot where it lies; the fraud lookup moves loans, the totals are four rows.
+        plan = full_report(book, FOUR_MONTHS)._jdf.queryExecution().executedPlan().toString()
+        moved = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?(, [A-Za-z_]+)?", plan)
+        assert sorted({name for name, _ in moved}) == [
+            "Balance_Date",
+            "fraud_loan",
+            "loanAccountNumber",
+            "loan_as_number",
+        ]
+        assert len(moved) == 4 and not any(more for _, more in moved)
         for config in (ONE_MONTH, FOUR_MONTHS):
             assert sorted(full_report(book, config).collect()) == sorted(full_report(stored_book, config).collect())
     for name in ("installments", "loans", "buckets"):
