@@ -37,6 +37,17 @@ def test_odd_rows(spark):
     assert p.preference_pairs(empty, p.degraded(empty)).collect() == []
 
 
+def test_empty_and_very_long_conversations(spark):
+    long = [(1, i, ("user", "assistant")[i % 2], "w " * 50_000 if i == 0 else f"t{i}") for i in range(400)]
+    chosen = turns(spark, [*long, (2, 0, "user", ""), (2, 1, "assistant", "")])
+    rejected = turns(spark, [*long[:-1], (1, 399, "assistant", "other"), (2, 0, "user", "")])
+    rows = p.preference_pairs(chosen, rejected).collect()
+    text, trained = render(rows, 1, "prompt")
+    assert text.count("<|im_start|>") == 399 and not any(trained) and "w " * 50_000 in text
+    assert render(rows, 1, "rejected")[0] == "<|im_start|>assistant\nother<|im_end|>\n"
+    assert render(rows, 2, "chosen") == ("<|im_start|>assistant\n<|im_end|>\n", [True]) and render(rows, 2, "rejected")[0] == ""
+
+
 def test_query_equals_its_sql(spark, tables_dir, duck):
     from arrears.llm import queries
 

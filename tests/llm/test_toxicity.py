@@ -80,3 +80,43 @@ def test_odd_rows(spark, odd):
     assert len({r["score"] for r in rows if r["doc_id"] in (2, 3, 4)}) == 1
     assert x.score_toxicity(odd.limit(0), marks).collect() == []
     assert {r["score"] for r in x.score_toxicity(odd, labels.limit(0)).collect()} == {0.5}
+
+
+def slow_fit(rows, labels, rate, smooth, l1, l2, rounds, toxic_weight):
+    """FTRL-proximal as published, one coordinate at a time: z, n per coordinate, a weight only where |z| > l1."""
+    z, n = {}, {}
+
+    def weight(i, penalty):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= penalty:
+            return 0.0
+        sign = 1.0 if zi > 0 else -1.0
+        return -(zi - sign * penalty) / ((smooth + n.get(i, 0.0) ** 0.5) / rate + (0.0 if i == "bias" else l2))
+
+    for _ in range(rounds):
+        for row, label in zip(rows, labels):
+            active = [("bias", 0.0), *((int(i), l1) for i in row)]
+            w = {i: weight(i, penalty) for i, penalty in active}
+            p = 1 / (1 + np.exp(-sum(w.values())))
+            gradient = (p - label) * (toxic_weight if label else 1.0)
+            for i, _ in active:
+                old = n.get(i, 0.0)
+                sigma = ((old + gradient**2) ** 0.5 - old**0.5) / rate
+                z[i] = z.get(i, 0.0) + gradient - sigma * w[i]
+                n[i] = old + gradient**2
+    return weight("bias", 0.0), {i: w for i in z if i != "bias" and (w := weight(i, l1))}
+
+
+def test_fit_equals_plain_ftrl():
+    draw = np.random.default_rng(7)
+    rows = [np.unique(draw.integers(0, 40, draw.integers(0, 12))) for _ in range(200)]
+    labels = [int(5 in row or 7 in row) for row in rows]
+    for options in (
+        {"rate": 1.0, "smooth": 1.0, "l1": 1.0, "l2": 0.0, "rounds": 3, "toxic_weight": 4.0},
+        {"rate": 0.1, "smooth": 0.5, "l1": 0.2, "l2": 0.3, "rounds": 2, "toxic_weight": 1.0},
+    ):
+        bias, weights = x.fit(rows, labels, **options)
+        slow_bias, slow_weights = slow_fit(rows, labels, **options)
+        assert abs(bias - slow_bias) < 1e-9 and 0 < len(slow_weights) < 40
+        assert {int(i): weights[i] for i in np.flatnonzero(weights)}.keys() == slow_weights.keys()
+        assert all(abs(weights[i] - w) < 1e-9 for i, w in slow_weights.items())
