@@ -3,17 +3,16 @@
 Each first word keys an associative counter of what follows it: second words,
 and second and third words together. A task builds such stripes of its texts,
 stripes of one prefix meet in a bucket and are merged element by element, and
-the merged stripe holds everything wanted of the prefix: its own total, the
-totals of the pairs it starts, their extensions, and which extension is the
-most frequent.
+the merged stripe holds what is wanted of the prefix: its own total, the
+totals of the pairs it starts, and how often each extends a pair.
 
 A prefix that many texts share would make one stripe too large for a task. So
 words and pairs are counted by class of their hash first, and stripes of
 classes above a bucket's share are split: their elements are dealt out by the
 hash of the next word as well. Which prefixes are split never changes a count.
 
-Only phrases that reach the least count leave their bucket. The rest, parts,
-scores and the longer phrases around a shorter one, are joins of those.
+Only elements that reach the least count leave their bucket. Parts, scores and
+the largest extension of a pair on either side are joins and maxima of those.
 """
 
 from __future__ import annotations
