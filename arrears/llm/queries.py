@@ -107,6 +107,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_preference_formatting": preferences.ORACLE,
         "op7_top_k": top_k.ORACLE,
+        "op8_suffix_dedup": suffix_dedup.ORACLE,
         "op11_collocations": collocations.ORACLE,
         "op13_filter_audit": filter_audit.ORACLE,
     }
