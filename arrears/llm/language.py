@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.frames import crc_bucket, unit_hash
+from arrears.sources.scratch import stage
 
 PAD, GAP, UNKNOWN = 0, 1, 2
 # Letters with a column of their own in a language's table.
@@ -227,7 +228,8 @@ def drawn_rows(labelled: DataFrame, rows: int, characters: int) -> DataFrame:
     some = Window.partitionBy("lang", F.pmod(F.hash("key", "doc_id"), F.lit(64))).orderBy(*order)
     known = known.withColumn("place", F.row_number().over(some)).filter(F.col("place") <= rows)
     known = known.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    chosen = known.filter(F.col("place") <= rows).toDF("_lang", "_id", "_key", *known.columns[3:])
+    # Stored, so that Spark knows how small they are: no more than ``rows`` a language.
+    chosen = stage(known.filter(F.col("place") <= rows).toDF("_lang", "_id", "_key", *known.columns[3:]), "drawn")
     same = (F.col("lang") == F.col("_lang")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
     # Of a longer text no more than ``characters`` is ever used.
     text = F.substring("text", 1, characters).alias("text")
