@@ -21,8 +21,8 @@ from arrears.sources.scratch import discard, scratch_path, stage
 
 BROADCAST_CELLS = 20_000
 
-# Sweeps over more cells than that are jobs of their own, so only so many are made.
-MANY_SWEEPS = 40
+# From here on a probability is 1: the last digits of a sum must not decide which cells are fixed.
+AT_BOUND = 1 - 1e-12
 
 # Hashes of a cell are counted in so many bins, and those of the bin that holds the threshold once more.
 DRAW_BINS = 4096
@@ -201,17 +201,18 @@ def calibrate(
     approached. Cells without tokens get ``rate``.
 
     Cells are sums of documents. Up to ``BROADCAST_CELLS`` of them are swept on
-    the driver, more by a grouped sum and a join per target and sweep, of which
-    ``MANY_SWEEPS`` are made at most.
+    the driver, more by a grouped sum and a join per target and sweep. Both make
+    the same sweeps under the same limits, so the number of cells decides where
+    they are swept and never the result.
     """
     if rate >= 1:
         return weighed.withColumn("probability", F.lit(1.0))
     columns = [t.column for t in targets]
     start = F.coalesce(F.least(F.lit(1.0), F.col("weight") * F.lit(float(rate))), F.lit(float(rate)))
-    first = weighed.withColumn("probability", start)
+    first = weighed.withColumn("probability", F.when(start < AT_BOUND, start).otherwise(1.0))
     goals = [kept_goals(target_levels(weighed, t), rate) for t in targets]
     if weighed.count() > BROADCAST_CELLS:
-        return _swept(first, columns, goals, min(iterations, MANY_SWEEPS), tolerance)
+        return _swept(first, columns, goals, iterations, tolerance)
     cells = first.orderBy(*columns).collect()
     wished = [{row["level"]: row["goal"] for row in goal.collect()} for goal in goals]
     chances = bounded_fit(
@@ -250,10 +251,14 @@ def bounded_fit(
             free = sum(tokens[i] * chances[i] for i in mine if chances[i] < 1)
             worst = max(worst, abs(fixed + free - goal) / goal)
             gains = fixed + free < goal
+            # Cells that other targets hold at 0 stay there.
+            if not fixed + free:
+                continue
             factor = (goal - fixed) / free if gains and free else goal / (fixed + free)
             for i in mine:
                 if not (gains and chances[i] >= 1):
-                    chances[i] = min(1.0, chances[i] * factor)
+                    chance = chances[i] * factor
+                    chances[i] = chance if chance < AT_BOUND else 1.0
         if worst < tolerance:
             break
     return chances
@@ -264,38 +269,38 @@ def _swept(
 ) -> DataFrame:
     """``bounded_fit`` of many cells; a sweep is written out, and deleted when it is no longer read."""
     spark, path = first.sparkSession, scratch_path(first.sparkSession, "sweeps")
-    first.write.parquet(f"{path}/0")
-    fitted = spark.read.parquet(f"{path}/0")
+    # A cell brings its levels' goals along, so that a sweep does not join them again.
+    for i, (column, goal) in enumerate(zip(columns, goals)):
+        own = goal.select(F.col("level").alias("_level"), F.col("goal").alias(f"_goal{i}"))
+        start = (start if i else first).join(own, F.col(column) == F.col("_level"), "left").drop("_level")
+    start.write.parquet(f"{path}/0")
+    fitted = spark.read.schema(start.schema).parquet(f"{path}/0")
     at_bound, expected = F.col("probability") >= 1, F.col("tokens") * F.col("probability")
+    total = F.col("_fixed") + F.col("_free")
     for n in range(1, sweeps + 1):
         moved = fitted.withColumn("_off", F.lit(0.0))
-        for column, goal in zip(columns, goals):
+        for i, column in enumerate(columns):
+            goal = F.col(f"_goal{i}")
             sums = moved.groupBy(F.col(column).alias("_level")).agg(
                 F.sum(F.when(at_bound, F.col("tokens").cast("double")).otherwise(0.0)).alias("_fixed"),
                 F.sum(F.when(~at_bound, expected).otherwise(0.0)).alias("_free"),
             )
-            sums = sums.join(goal.withColumnRenamed("level", "_level"), "_level")
-            total = F.col("_fixed") + F.col("_free")
-            gains = total < F.col("goal")
-            up = F.coalesce(F.try_divide(F.col("goal") - F.col("_fixed"), F.col("_free")), F.lit(1.0))
+            gains = total < goal
+            up = F.coalesce(F.try_divide(goal - F.col("_fixed"), F.col("_free")), F.lit(1.0))
+            chance = F.col("probability") * F.when(gains, up).otherwise(F.try_divide(goal, total))
             moved = moved.join(sums, F.col(column) == F.col("_level"), "left").withColumns(
                 {
-                    "_off": F.greatest("_off", F.try_divide(F.abs(total - F.col("goal")), "goal")),
-                    "probability": F.when(F.col("goal").isNull() | (F.col("tokens") == 0), F.col("probability"))
+                    "_off": F.greatest("_off", F.try_divide(F.abs(total - goal), goal)),
+                    "probability": F.when(goal.isNull() | (F.col("tokens") == 0), F.col("probability"))
                     .when(gains & at_bound, F.col("probability"))
-                    .otherwise(
-                        F.least(
-                            F.lit(1.0),
-                            F.col("probability")
-                            * F.when(gains, up).otherwise(F.try_divide(F.col("goal"), total)),
-                        )
-                    ),
+                    .otherwise(F.when(chance < AT_BOUND, chance).otherwise(1.0)),
                 }
             )
-            moved = moved.select(*first.columns, "_off")
+            moved = moved.select(*start.columns, "_off")
         moved.write.parquet(f"{path}/{n}")
-        fitted = spark.read.parquet(f"{path}/{n}")
+        fitted = spark.read.schema(moved.schema).parquet(f"{path}/{n}")
         off = fitted.agg(F.max("_off")).first()[0] or 0.0
+        fitted = fitted.drop("_off")
         discard(spark, f"{path}/{n - 1}")
         if off < tolerance:
             break

@@ -98,6 +98,51 @@ def test_many_cells_are_swept_alike(spark, monkeypatch):
     assert many == pytest.approx(few, rel=1e-6) and max(few.values()) == 1
 
 
+def test_many_cells_are_swept_as_often_as_few(spark, monkeypatch):
+    """No probabilities meet these targets: every sweep that is allowed moves them."""
+    rows = [("a", "x", "t", 900, 1.0), ("a", "y", "t", 100, 1.0), ("b", "y", "t", 400, 1.0), ("b", "z", "t", 0, None)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens bigint, weight double")
+    targets = (m.Target("source", shares={"a": 0.3}), m.Target("lang", shares={"x": 0.6}))
+
+    def swept(sweeps):
+        found = m.calibrate(cells, targets, 0.8, iterations=sweeps, tolerance=1e-9).collect()
+        return {tuple(r[:2]): r["probability"] for r in found}
+
+    few, fewer = swept(43), swept(40)
+    monkeypatch.setattr(m, "BROADCAST_CELLS", 2)
+    assert swept(43) == pytest.approx(few, abs=1e-9) and few != pytest.approx(fewer, abs=1e-6)
+
+
+def test_last_digits_do_not_decide_which_cells_are_fixed():
+    """Levels that keep all they hold stay at the bound, whatever the order in which sums were made."""
+    draw = np.random.default_rng(6)
+    n = 600
+    levels = [[f"s{draw.integers(60)}", f"l{draw.integers(4)}", f"t{draw.integers(5)}"] for _ in range(n)]
+    tokens = [max(1, int(x)) for x in 5000 * draw.random(n) ** 3]
+    goals = []
+    for k in range(3):
+        held = {}
+        for own, x in zip(levels, tokens):
+            held[own[k]] = held.get(own[k], 0) + x
+        goals.append({level: min(1.0, 0.2 + 1.6 * draw.random()) * x for level, x in held.items()})
+    found = []
+    for end in (0.0, 1e300):
+        nudged = [{level: float(np.nextafter(goal, end)) for level, goal in own.items()} for own in goals]
+        found.append(m.bounded_fit(tokens, levels, [0.5] * n, nudged, 50, 1e-4))
+    assert max(found[0]) == 1 and found[1] == pytest.approx(found[0], abs=1e-9)
+
+
+def test_few_and_many_cells_of_a_level_without_a_share(spark, monkeypatch):
+    """All of source b is in a language that is not wanted."""
+    rows = [("a", "x", "t", 900, 1.0), ("a", "y", "t", 100, 0.0), ("b", "y", "t", 400, 0.0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens bigint, weight double")
+    targets = (m.Target("source", 0.5), m.Target("lang", shares={"y": 0.0}))
+    few = {tuple(r[:2]): r["probability"] for r in m.calibrate(cells, targets, 0.5, iterations=3).collect()}
+    monkeypatch.setattr(m, "BROADCAST_CELLS", 2)
+    many = {tuple(r[:2]): r["probability"] for r in m.calibrate(cells, targets, 0.5, iterations=3).collect()}
+    assert few == pytest.approx(many, abs=1e-9) and few["b", "y"] == few["a", "y"] == 0 < few["a", "x"]
+
+
 def test_goals_beyond_what_a_level_holds_go_to_the_others(spark):
     levels = spark.createDataFrame([("a", 500.0, 100.0), ("b", 300.0, 400.0), ("c", 200.0, 500.0)], "level string, goal double, held double")
     got = {r["level"]: r["goal"] for r in m.kept_goals(levels, 0.5).collect()}
