@@ -4,10 +4,12 @@ import math
 import random
 import re
 import zlib
+from functools import partial
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 from arrears.llm import mixing, quality_rules
 from arrears.llm.frames import text_key, unit_hash
 from pyspark.sql import functions as F
@@ -198,6 +200,28 @@ def test_an_empty_table_and_extra_columns(spark, tmp_path):
     assert found["more"] == found["same"] != [] and found["none"] == []
 
 
+def test_as_many_sweeps_for_many_cells_as_for_few(spark, monkeypatch):
+    """The mixing stage hands the same limits to both ways of sweeping."""
+    docs = spark.createDataFrame(small_table()[:12], SCHEMA)
+    limits = []
+
+    def swept(first, columns, goals, sweeps, tolerance):
+        limits.append((sweeps, tolerance))
+        return first
+
+    def fitted(tokens, levels, chances, goals, sweeps, tolerance):
+        limits.append((sweeps, tolerance))
+        return chances
+
+    monkeypatch.setattr(mixing, "rake", partial(mixing.rake, iterations=1))
+    monkeypatch.setattr(mixing, "_swept", swept)
+    monkeypatch.setattr(mixing, "bounded_fit", fitted)
+    few = sorted(corpus_pipeline.mix(spark, docs, "").collect())
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 2)
+    assert sorted(corpus_pipeline.mix(spark, docs, "").collect()) == few
+    assert len(limits) == 2 and limits[0] == limits[1]
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_dedup", "suffix_dedup", "mixing", "packing"]
     rows = small_table()
