@@ -10,9 +10,10 @@ hash, up to the calibrated share of their cell's tokens.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,9 @@ BROADCAST_CELLS = 20_000
 # From here on a probability is 1: the last digits of a sum must not decide which cells are fixed.
 AT_BOUND = 1 - 1e-12
 
+# Expected tokens are added up as whole tokens and two parts of so many to one, which are whole numbers too.
+PART = float(1 << 26)
+
 # Hashes of a cell are counted in so many bins, and those of the bin that holds the threshold once more.
 DRAW_BINS = 4096
 
@@ -235,33 +239,51 @@ def bounded_fit(
     iterations: int,
     tolerance: float,
 ) -> list[float]:
-    """Probabilities of cells, raked to ``goals`` (per target by level) under the bound of 1."""
-    chances = list(chances)
+    """Probabilities of cells, raked to ``goals`` (per target by level) under the bound of 1.
+
+    Levels are added up in whole numbers, whose order does not matter: every
+    sum, and so every probability, has the same bits as in ``_swept``.
+    """
+    tokens, chances = np.array(tokens, np.int64), np.array(chances, float)
     members = []
     for k, goal in enumerate(goals):
-        of: dict[str, list[int]] = {}
-        for i, own in enumerate(levels):
-            if tokens[i] and own[k] in goal:
-                of.setdefault(own[k], []).append(i)
-        members += [(goal[level], mine) for level, mine in of.items()]
+        place: dict[str, int] = {}
+        mine = [i for i, own in enumerate(levels) if tokens[i] and own[k] in goal]
+        level = np.array([place.setdefault(levels[i][k], len(place)) for i in mine], np.int64)
+        members.append((np.array(mine, np.int64), level, np.array([goal[x] for x in place], float)))
     for _ in range(iterations):
         worst = 0.0
-        for goal, mine in members:
-            fixed = sum(tokens[i] for i in mine if chances[i] >= 1)
-            free = sum(tokens[i] * chances[i] for i in mine if chances[i] < 1)
-            worst = max(worst, abs(fixed + free - goal) / goal)
-            gains = fixed + free < goal
+        for mine, level, goal in members:
+            held, own = tokens[mine], chances[mine]
+            bound = own >= 1
+
+            def summed(values: np.ndarray, level: np.ndarray = level, n: int = len(goal)) -> np.ndarray:
+                out = np.zeros(n, np.int64)
+                np.add.at(out, level, values.astype(np.int64))
+                return out.astype(float)
+
+            fixed = summed(np.where(bound, held, 0))
+            whole, first, second = map(summed, _parts(np.where(bound, 0.0, held * own), np.floor))
+            free = whole + (first + second / PART) / PART
+            total = fixed + free
+            gains = total < goal
+            worst = max(worst, (np.abs(total - goal) / goal).max(initial=0.0))
             # Cells that other targets hold at 0 stay there.
-            if not fixed + free:
-                continue
-            factor = (goal - fixed) / free if gains and free else goal / (fixed + free)
-            for i in mine:
-                if not (gains and chances[i] >= 1):
-                    chance = chances[i] * factor
-                    chances[i] = chance if chance < AT_BOUND else 1.0
+            up = np.divide(goal - fixed, free, out=np.ones(len(goal)), where=free > 0)
+            down = np.divide(goal, total, out=np.ones(len(goal)), where=total > 0)
+            chance = own * np.where(gains, up, down)[level]
+            chances[mine] = np.where(gains[level] & bound, own, np.where(chance < AT_BOUND, chance, 1.0))
         if worst < tolerance:
             break
-    return chances
+    return chances.tolist()
+
+
+def _parts(tokens, floor: Callable) -> tuple:
+    """``tokens`` as whole ones and two parts of ``PART`` to one, all whole numbers; what is less goes."""
+    whole = floor(tokens)
+    rest = (tokens - whole) * PART
+    first = floor(rest)
+    return whole, first, floor((rest - first) * PART)
 
 
 def _swept(
@@ -276,17 +298,22 @@ def _swept(
     start.write.parquet(f"{path}/0")
     fitted = spark.read.schema(start.schema).parquet(f"{path}/0")
     at_bound, expected = F.col("probability") >= 1, F.col("tokens") * F.col("probability")
-    total = F.col("_fixed") + F.col("_free")
+    whole, first_part, second_part = _parts(F.when(at_bound, 0.0).otherwise(expected), F.floor)
+    fixed = F.col("_fixed").cast("double")
+    free = F.col("_whole") + (F.col("_first") + F.col("_second") / PART) / PART
+    total = fixed + free
     for n in range(1, sweeps + 1):
         moved = fitted.withColumn("_off", F.lit(0.0))
         for i, column in enumerate(columns):
             goal = F.col(f"_goal{i}")
             sums = moved.groupBy(F.col(column).alias("_level")).agg(
-                F.sum(F.when(at_bound, F.col("tokens").cast("double")).otherwise(0.0)).alias("_fixed"),
-                F.sum(F.when(~at_bound, expected).otherwise(0.0)).alias("_free"),
+                F.sum(F.when(at_bound, F.col("tokens")).otherwise(0)).alias("_fixed"),
+                F.sum(whole).alias("_whole"),
+                F.sum(first_part).alias("_first"),
+                F.sum(second_part).alias("_second"),
             )
             gains = total < goal
-            up = F.coalesce(F.try_divide(goal - F.col("_fixed"), F.col("_free")), F.lit(1.0))
+            up = F.coalesce(F.try_divide(goal - fixed, free), F.lit(1.0))
             chance = F.col("probability") * F.when(gains, up).otherwise(F.try_divide(goal, total))
             moved = moved.join(sums, F.col(column) == F.col("_level"), "left").withColumns(
                 {

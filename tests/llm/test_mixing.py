@@ -132,6 +132,24 @@ def test_last_digits_do_not_decide_which_cells_are_fixed():
     assert max(found[0]) == 1 and found[1] == pytest.approx(found[0], abs=1e-9)
 
 
+def test_few_and_many_cells_have_the_same_bits(spark):
+    """Sums are whole numbers: neither their order nor who makes them shows, not even in the sweep that is the last."""
+    draw = np.random.default_rng(11)
+    rows = {(f"s{draw.integers(40)}", f"l{draw.integers(3)}", f"t{draw.integers(4)}") for _ in range(300)}
+    rows = [(*own, int(5000 * draw.random() ** 4), draw.random() ** 2) for own in sorted(rows)]
+    first = spark.createDataFrame(rows, "source string, lang string, topic string, tokens bigint, probability double")
+    goals = []
+    for k in range(3):
+        held = marginals([dict(zip(range(5), r)) for r in rows], k, lambda r: r[3])
+        goals.append({level: x * min(1.0, 0.3 + draw.random()) for level, x in held.items() if x})
+    frames = [spark.createDataFrame(list(own.items()), "level string, goal double") for own in goals]
+    many = {tuple(r[:3]): r[4] for r in m._swept(first.repartition(7), LEVELS, frames, 12, 1e-4).collect()}
+    for own in (rows, rows[::-1]):
+        few = m.bounded_fit([r[3] for r in own], [r[:3] for r in own], [r[4] for r in own], goals, 12, 1e-4)
+        assert {r[:3]: chance for r, chance in zip(own, few)} == many
+    assert max(many.values()) == 1 > min(many.values())
+
+
 def test_few_and_many_cells_of_a_level_without_a_share(spark, monkeypatch):
     """All of source b is in a language that is not wanted."""
     rows = [("a", "x", "t", 900, 1.0), ("a", "y", "t", 100, 0.0), ("b", "y", "t", 400, 0.0)]

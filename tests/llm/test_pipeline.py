@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from arrears.llm import mixing, quality_rules
 from arrears.llm.frames import text_key, unit_hash
+from arrears.sources.scratch import stage
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -222,6 +223,34 @@ def test_as_many_sweeps_for_many_cells_as_for_few(spark, monkeypatch):
     assert len(limits) == 2 and limits[0] == limits[1]
 
 
+def test_the_switch_between_few_and_many_cells_changes_no_bit(spark, monkeypatch):
+    """Both ways of sweeping, run on what the mixing stage hands to one of them, give the same doubles."""
+    docs = spark.createDataFrame(small_table(), SCHEMA)
+    swept, compared = mixing._swept, []
+
+    def both(first, columns, goals, sweeps, tolerance):
+        first, goals = stage(first, "test"), [stage(goal, "test") for goal in goals]
+        many = swept(first.repartition(5), columns, goals, 8, tolerance)
+        cells = first.collect()
+        few = mixing.bounded_fit(
+            [r["tokens"] for r in cells],
+            [[r[c] for c in columns] for r in cells],
+            [r["probability"] for r in cells],
+            [{r["level"]: r["goal"] for r in goal.collect()} for goal in goals],
+            8,
+            tolerance,
+        )
+        compared.append({tuple(r[c] for c in columns): chance for r, chance in zip(cells, few)})
+        compared.append({tuple(r[c] for c in columns): r["probability"] for r in many.collect()})
+        return many
+
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 2)
+    monkeypatch.setattr(mixing, "_swept", both)
+    assert 0 < corpus_pipeline.mix(spark, docs, "").count() < docs.count()
+    few, many = compared
+    assert len(few) > 20 and few == many
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_dedup", "suffix_dedup", "mixing", "packing"]
     rows = small_table()
